@@ -1,5 +1,5 @@
 """Modules whose QUERIES and SQL make up the training-data query set."""
 
-from pagewright.llm import copies_queries, line_queries, split_queries, token_queries
+from pagewright.llm import copies_queries, line_queries, split_queries, token_queries, value_queries
 
-MODULES = [copies_queries, line_queries, split_queries, token_queries]
+MODULES = [copies_queries, line_queries, split_queries, token_queries, value_queries]
