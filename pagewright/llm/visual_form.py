@@ -107,9 +107,9 @@ def tables() -> Tables:
     return _TABLES
 
 
-def _drop(x: np.ndarray, keep: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    before = np.concatenate(([0], np.cumsum(keep)))
-    return x[keep], before[offsets]
+def _drop(x: np.ndarray, gone: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without the (ascending) positions `gone`."""
+    return np.delete(x, gone), offsets - np.searchsorted(gone, offsets)
 
 
 def normal_points(x: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,28 +120,30 @@ def normal_points(x: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     # line ends
     cr = x == 13
     if cr.any():
-        x = np.where(cr, 10, x).astype(np.uint32)
-        keep = np.ones(len(x), bool)
-        end = np.zeros(len(x) + 1, bool)
-        end[offsets] = True
-        keep[:-1] = ~(cr[:-1] & (x[1:] == 10) & ~cr[1:] & ~end[1:-1])
-        x, offsets = _drop(x, keep, offsets)
+        at = np.flatnonzero(cr)
+        inner = at[at + 1 < len(x)]
+        pair = inner[(x[inner + 1] == 10) & ~np.isin(inner + 1, offsets)]
+        x = x.copy()
+        x[at] = 10
+        x, offsets = _drop(x, pair, offsets)
     # gather replacements
-    if t.special[x].any():
-        n = np.where(t.special[x], t.length[x], 1)
-        begin = np.concatenate(([0], np.cumsum(n)))
-        source = np.repeat(np.arange(len(x)), n)
-        inside = np.arange(begin[-1]) - begin[source]
-        y = x[source]
-        s = t.special[y]
-        y[s] = t.pool[t.first[y[s]] + inside[s]]
-        x, offsets = y, begin[offsets]
-    if len(x) == 0 or x.max() < 0x300:
-        return x, offsets
-    mark = t.second[x] | ((x >= _V) & (x < _V + 21)) | ((x > _T) & (x < _T + 28))
-    starts = offsets[:-1][offsets[:-1] < len(x)]
-    mark[starts] = False
-    at = np.flatnonzero(mark)
+    at = np.flatnonzero(x >= 0x80)
+    at = at[t.special[x[at]]]
+    if len(at):
+        n = t.length[x[at]]
+        shift = np.concatenate(([0], np.cumsum(n - 1)))
+        new = at + shift[:-1]
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        points = t.pool[np.repeat(t.first[x[at]], n) + inside]
+        counts = np.ones(len(x), np.int64)
+        counts[at] = n
+        x = np.repeat(x, counts)
+        x[np.repeat(new, n) + inside] = points
+        offsets = offsets + shift[np.searchsorted(at, offsets)]
+    at = np.flatnonzero(x >= 0x300)
+    y = x[at]
+    at = at[t.second[y] | ((y >= _V) & (y < _V + 21)) | ((y > _T) & (y < _T + 28))]
+    at = at[~np.isin(at, offsets[:-1])]
     if not len(at):
         return x, offsets
     x = x.copy()
@@ -172,7 +174,7 @@ def normal_points(x: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
         stay, zero = ~yes & (c > 0), ~yes & (c == 0)
         last[g[stay]] = c[stay]
         base[g[zero]], last[g[zero]] = i[zero], 0
-    return _drop(x, ~gone, offsets)
+    return _drop(x, np.flatnonzero(gone), offsets)
 
 
 def normalize_array(column: pa.Array) -> pa.Array:
@@ -197,20 +199,22 @@ def normalize_array(column: pa.Array) -> pa.Array:
         part = normalize_array(column.filter(pa.array(some)))
         kind = pa.large_string() if pa.types.is_large_string(part.type) else pa.string()
         return pa.compute.replace_with_mask(column.cast(kind), pa.array(some), part)
-    starts = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
+    inner = np.flatnonzero((raw & 0xC0) == 0x80)
     try:
         x = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), "<u4")
-        offsets = starts[off]
+        offsets = off - np.searchsorted(inner, off)
     except UnicodeDecodeError:  # bytes that aren't UTF-8 become U+FFFD; the row borders must hold
         rows = [raw[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(off[:-1], off[1:], strict=True)]
         x = np.frombuffer("".join(rows).encode("utf-32-le"), "<u4")
         offsets = np.concatenate(([0], np.cumsum([len(r) for r in rows])))
     x, offsets = normal_points(x.astype(np.uint32), offsets)
-    width = np.concatenate(([0], np.cumsum(1 + (x >= 0x80).astype(np.int64) + (x >= 0x800) + (x >= 0x10000))))
+    wide = np.flatnonzero(x >= 0x80)
+    y = x[wide]
+    extra = np.concatenate(([0], np.cumsum(1 + (y >= 0x800).astype(np.int64) + (y >= 0x10000))))
     out = x.astype("<u4").tobytes().decode("utf-32-le").encode("utf-8")
     valid = pa.compute.is_valid(column)
     bits = pa.array(valid.to_numpy(zero_copy_only=False).astype(np.uint8), pa.uint8()).cast(pa.bool_()).buffers()[1]
-    bytes_off = width[offsets]
+    bytes_off = offsets + extra[np.searchsorted(wide, offsets)]
     if bytes_off[-1] > np.iinfo(np.int32).max:
         return pa.LargeStringArray.from_buffers(size, pa.py_buffer(bytes_off.astype(np.int64).tobytes()), pa.py_buffer(out), bits)
     return pa.StringArray.from_buffers(size, pa.py_buffer(bytes_off.astype(np.int32).tobytes()), pa.py_buffer(out), bits)
