@@ -94,7 +94,7 @@ def page_evidence(
     return out.dropDuplicates(["id"]).withColumnRenamed("id", id_col)
 
 
-def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np.ndarray:
+def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.03, steps: int = 50) -> np.ndarray:
     """Weights (intercept first) of a logistic model, by Newton's method."""
     a = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(a.shape[1])
