@@ -1,5 +1,5 @@
 """Modules whose QUERIES and SQL make up the core query set."""
 
-from pagewright.plans import interval_queries, text_queries
+from pagewright.plans import interval_queries, outline_queries, text_queries
 
-MODULES = [interval_queries, text_queries]
+MODULES = [interval_queries, outline_queries, text_queries]
