@@ -89,26 +89,25 @@ def locate_by_words(chunks: DataFrame, pages: DataFrame, key: str = "doc_id", id
     rare = pw.groupBy(key, "word").agg(F.collect_list("page_no").alias("on"), F.count(F.lit(1)).alias("df")).where(F.col("df") <= RARE_PAGES)
     words = d.select(key, ident, "__wlo", "__whi", F.explode(F.array_distinct(T.words(F.col("text"), 4))).alias("word"))
     words = words.join(rare.select(key, "word", "on"), [key, "word"])
-    # per chunk its rare words with the pages (three at most) of each
-    per = words.groupBy(key, ident).agg(F.first("__wlo").alias("lo"), F.first("__whi").alias("hi"), F.collect_list("on").alias("w"), F.count(F.lit(1)).alias("n"))
-    per = per.where(F.col("n") >= RARE_WORDS)
-    inside = F.filter(F.flatten("w"), lambda p: (p >= F.col("lo")) & (p <= F.col("hi")))
-    per = per.withColumn("s", F.array_sort(inside)).where(F.size("s") > 0)
-    score = lambda p: F.size(F.filter("s", lambda x: x == p))
-    tops = F.transform(F.array_distinct("s"), lambda p: F.struct((-score(p)).alias("m"), p.alias("p")))
-    per = per.withColumn("b", F.array_min(tops))
-    best = F.col("b")["p"]
-    floor = F.greatest(F.lit(1), F.floor(-F.col("b")["m"] * NEIGHBOUR).cast("int"))
-    per = per.withColumn("p", best).withColumn("f", floor)
-    ok = {k: (score(F.col("p") + k) >= F.col("f")) & (F.col("p") + k >= F.col("lo")) & (F.col("p") + k <= F.col("hi")) for k in (-2, -1, 1, 2)}
-    left = F.when(ok[-1] & ok[-2], 2).when(ok[-1], 1).otherwise(0)
-    per = per.withColumn("l", left)
+    # at most three pages per word, so the opened rows stay in proportion to the words
+    on = words.select(key, ident, "word", F.explode("on").alias("page_no"), "__wlo", "__whi").where(F.col("page_no").between(F.col("__wlo"), F.col("__whi")))
+    scores = on.groupBy(key, ident, "page_no").agg(F.count(F.lit(1)).cast("int").alias("m"))
+    per = scores.groupBy(key, ident).agg(
+        F.min(F.struct((-F.col("m")).alias("m"), F.col("page_no").alias("p"))).alias("b"),
+        F.map_from_entries(F.collect_list(F.struct("page_no", "m"))).alias("s"),
+    )
+    total = words.groupBy(key, ident).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= RARE_WORDS)
+    per = per.join(total, [key, ident])
+    per = per.select(key, ident, "n", "s", F.col("b.p").alias("p"), F.greatest(F.lit(1), F.floor(-F.col("b.m") * NEIGHBOUR).cast("int")).alias("f"))
+    ok = {k: F.coalesce(F.col("s")[F.col("p") + k] >= F.col("f"), F.lit(False)) for k in (-2, -1, 1, 2)}
+    per = per.withColumn("l", F.when(ok[-1] & ok[-2], 2).when(ok[-1], 1).otherwise(0))
     room = F.lit(MOST_SPAN - 1) - F.col("l")
     right = F.when((room >= 2) & ok[1] & ok[2], 2).when((room >= 1) & ok[1], 1).otherwise(0)
-    per = per.withColumn("a", F.col("p") - F.col("l")).withColumn("z", F.col("p") + right)
-    covered = F.size(F.filter("w", lambda o: F.exists(o, lambda x: (x >= F.col("a")) & (x <= F.col("z")))))
-    per = per.where(covered / F.col("n") >= RARE_SHARE)
-    return per.select(key, ident, F.col("a").alias("span_start"), F.col("z").alias("span_end"))
+    per = per.select(key, ident, "n", (F.col("p") - F.col("l")).alias("a"), (F.col("p") + right).alias("z"))
+    inside = on.join(per, [key, ident]).where(F.col("page_no").between(F.col("a"), F.col("z")))
+    covered = inside.groupBy(key, ident, "n", "a", "z", "word").agg(F.lit(1).alias("one")).groupBy(key, ident, "n", "a", "z").agg(F.count(F.lit(1)).alias("c"))
+    covered = covered.where(F.col("c") / F.col("n") >= RARE_SHARE)
+    return covered.select(key, ident, F.col("a").alias("span_start"), F.col("z").alias("span_end"))
 
 
 def ground_chunks(chunks: DataFrame, pages: DataFrame, key: str = "doc_id", ident: str = "chunk_id", by_words: bool = True) -> DataFrame:
