@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 #: One counted unit: a run of word characters, or a single other sign.
 UNIT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+ASCII_UNIT = r"[A-Za-z0-9_]+|[!-/:-@\[-^`{-~\x00-\x08\x0e-\x1b\x7f]"
 SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 NON_SPACE = r"[^\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 TOKENS_PER_UNIT = 1.3
@@ -38,7 +39,9 @@ def match_key(c: Column) -> Column:
 
 
 def unit_count(c: Column) -> Column:
-    return F.regexp_count(c, F.lit(UNIT))
+    """Texts of ASCII signs take the ASCII classes, which the JVM tests by a table."""
+    plain = F.octet_length(c) == F.length(c)
+    return F.when(plain, F.regexp_count(c, F.lit(ASCII_UNIT))).otherwise(F.regexp_count(c, F.lit(UNIT)))
 
 
 def size_of_units(n: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions import text as T
+from pagewright.session import materialize
 
 DEDUP_MIN_WORDS = 25
 
@@ -26,24 +27,27 @@ def dedupe_raw_chunks(df: DataFrame, keys: list[str], ord_col: str = "ord", min_
     every paragraph of at least `min_words` words that stood earlier in the section; texts that lost a
     paragraph are joined anew, chunks with nothing left are dropped.
 
-    Firsts come from aggregates that combine before the shuffle. A chunk that paragraph removal
+    Only hashes of chunks and paragraphs are grouped and compared; the texts meet the result, the
+    positions to remove, in one join. `ord` is unique in its section. A chunk that paragraph removal
     empties still counts as the first of its kind."""
-    chunk_key = T.dedup_key(F.col("text"))
-    d = df.withColumn("__c", F.xxhash64(chunk_key)).withColumn("__k", chunk_key).where("__k <> ''")
-    first = d.groupBy(*keys, "__c", "__k").agg(F.min(ord_col).alias(ord_col))
-    d = d.join(first.drop("__k"), [*keys, "__c", ord_col], "left_semi").drop("__c", "__k")
-    p = d.select(*keys, ord_col, F.posexplode(T.paragraphs(F.col("text"))).alias("pos", "para"))
-    p = p.withColumn("k", T.dedup_key(F.col("para"))).withColumn("long", T.space_words(F.col("para")) >= min_words)
-    seen = p.where("long").groupBy(*keys, "k").agg(F.min(F.struct(ord_col, "pos")).alias("f"))
-    seen = seen.select(*keys, F.col("k"), F.col("f")[ord_col].alias("__fo"), F.col("f.pos").alias("__fp"))
-    marked = p.join(seen, [*keys, "k"], "left")
-    again = F.col("long") & ~((F.col("__fo") == F.col(ord_col)) & (F.col("__fp") == F.col("pos")))
-    kept = marked.groupBy(*keys, ord_col).agg(
-        F.array_sort(F.collect_list(F.when(~again, F.struct("pos", "para")))).alias("left"), F.max(again.cast("int")).alias("lost")
-    )
-    text = F.when(F.col("lost") == 1, F.array_join(F.transform("left", lambda x: x["para"]), "\n\n")).otherwise(F.col("text"))
-    d = d.join(kept, [*keys, ord_col]).withColumn("text", text).drop("left", "lost")
-    return d.where(T.strip(F.col("text")) != "")
+
+    def digest(c: Column) -> Column:
+        return F.unhex(F.md5(c.cast("binary")))
+
+    def mark(x: Column, i: Column) -> Column:
+        return F.struct(i.alias("pos"), F.when(T.space_words(x) >= min_words, digest(T.dedup_key(x))).alias("k"))
+
+    d = df.withColumn("__k", T.dedup_key(F.col("text"))).where("__k <> ''")
+    n = d.select(*keys, ord_col, digest(F.col("__k")).alias("c"), F.transform(T.paragraphs(F.col("text")), mark).alias("ps"))
+    n = n.groupBy(*keys, "c").agg(F.min_by(F.struct(ord_col, "ps"), ord_col).alias("f")).select(*keys, F.col("f")[ord_col].alias(ord_col), F.col("f.ps").alias("ps"))
+    p = n.select(*keys, ord_col, F.explode_outer(F.filter("ps", lambda x: x["k"].isNotNull())).alias("p")).where("p is not null").select(*keys, ord_col, "p.pos", "p.k")
+    seen = p.groupBy(*keys, "k").agg(F.min(F.struct(ord_col, "pos")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys, "k", "f")
+    again = p.join(seen, [*keys, "k"]).where(F.col("f") != F.struct(ord_col, "pos"))
+    again = again.groupBy(*keys, ord_col).agg(F.collect_set("pos").alias("__gone"))
+    kept = n.select(*keys, ord_col).join(again, [*keys, ord_col], "left")
+    left = F.filter(T.paragraphs(F.col("text")), lambda x, i: ~F.array_contains("__gone", i))
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n\n"))
+    return d.drop("__k").join(kept, [*keys, ord_col]).withColumn("text", text).drop("__gone").where(T.strip(F.col("text")) != "")
 
 
 def fold_starts(units: Column, groups: Column, limit: int) -> Column:
@@ -109,7 +113,7 @@ def pack_groups(df: DataFrame, keys: list[str], ord_col: str, target: int, text:
     n = df.select(*keys, ord_col, T.unit_count(F.col(text)).alias("u"))
     s = n.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(ord_col).alias("o"), "u"))).alias("a"))
     s = s.withColumn("s", fold_starts(F.transform("a", lambda x: x["u"]), F.transform("a", lambda x: F.lit(0)), target))
-    s = s.select(*keys, "a", F.posexplode(F.arrays_zip(F.col("s").alias("b"), F.concat(F.slice("s", 2, F.size("s")), F.array(F.size("a"))).alias("e"))).alias("grp", "p"))
+    s = s.select(*keys, "a", F.posexplode_outer(F.arrays_zip(F.col("s").alias("b"), F.concat(F.slice("s", 2, F.size("s")), F.array(F.size("a"))).alias("e"))).alias("grp", "p"))
     b, e = F.col("p").getField("b"), F.col("p").getField("e")
     return s.select(*keys, "grp", F.explode(F.slice("a", b + 1, e - b)).alias("x")).select(*keys, F.col("x.o").alias(ord_col), "grp")
 
@@ -162,7 +166,9 @@ def assemble_chunks(
 ) -> DataFrame:
     """Guard, pack, number and count: the chunks of every document in reading order. Pieces inherit
     keywords, references and pages of the chunk they come from; `sec` orders the sections."""
-    d = enforce_token_limit(df, limit).select(*[c for c in df.columns if c != "text"], F.posexplode("pieces").alias("__p", "text"))
+    df = materialize(df, "raw-chunks")  # the fold and the texts both start from it
+    # outer explodes throughout: an inner one adds a filter that evaluates the whole fold once more
+    d = enforce_token_limit(df, limit).select(*[c for c in df.columns if c != "text"], F.posexplode_outer("pieces").alias("__p", "text"))
     d = d.withColumn("__o", F.struct(F.col(ord_col).alias("a"), F.col("__p").alias("b")))
     packed = pack_chunks(d.drop(ord_col).withColumnRenamed("__o", "o"), [doc, sec, *([sec_page] if sec_page else [])], "o", min(target, limit))
     if sec_page:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.functions import text as T
+from pagewright.session import materialize
 
 #: Scores that warn, the least text layer, chunk and line sizes (fixed values).
 COVERAGE_LOW, NOVELTY_HIGH, MIN_LAYER = 0.85, 0.15, 200
@@ -22,7 +23,8 @@ MISATTRIBUTED, NOT_IN_LAYER = "misattributed pages", "not in the text layer of a
 
 def bag(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """(keys, word, n): the words of each key's texts with their number."""
-    w = df.select(*keys, F.explode(T.words(F.col(text))).alias("word"))
+    # an outer explode: the inner one would evaluate the words once more in a filter of its own
+    w = df.select(*keys, F.explode_outer(T.words(F.col(text))).alias("word")).where("word is not null")
     return w.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -86,16 +88,17 @@ def warnings(scores: DataFrame, section_type: str = "section_type", shared: str
 
 def line_counts(chunks: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, line_no, word, n) of the lines with enough words."""
-    lines = chunks.select(*keys, F.posexplode(F.split("text", LINE_END)).alias("line_no", "line"))
+    lines = chunks.select(*keys, F.posexplode_outer(F.split("text", LINE_END)).alias("line_no", "line"))
     lines = lines.withColumn("w", T.words(F.col("line"))).where(F.size("w") >= LINE_MIN_WORDS)
-    return lines.select(*keys, "line_no", F.explode("w").alias("word")).groupBy(*keys, "line_no", "word").agg(F.count(F.lit(1)).alias("n"))
+    return lines.select(*keys, "line_no", F.explode_outer("w").alias("word")).groupBy(*keys, "line_no", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def novel_lines(chunks: DataFrame, pages: DataFrame, key: str = "doc_id", ident: str = "chunk_id") -> DataFrame:
+def novel_lines(chunks: DataFrame, pages: DataFrame, key: str = "doc_id", ident: str = "chunk_id", ref: DataFrame | None = None) -> DataFrame:
     """(key, ident, line_no, words, absent) of the lines half of whose words or more aren't on the chunk's
     pages."""
     lines = line_counts(chunks, [key, ident])
-    ref = range_bag(chunks, pages, key, [key, ident]).select(key, ident, "word", F.lit(1).alias("there"))
+    ref = range_bag(chunks, pages, key, [key, ident]) if ref is None else ref
+    ref = ref.select(key, ident, "word", F.lit(1).alias("there"))
     j = lines.join(ref, [key, ident, "word"], "left")
     s = j.groupBy(key, ident, "line_no").agg(F.sum("n").alias("words"), F.sum(F.when(F.col("there").isNull(), F.col("n")).otherwise(0)).alias("absent"))
     return s.where(F.col("absent") / F.col("words") >= LINE_ABSENT)
@@ -110,9 +113,10 @@ def scored_chunks(chunks: DataFrame, unmapped: DataFrame | None = None, key: str
 def novelty_flags(chunks: DataFrame, pages: DataFrame, key: str = "doc_id", ident: str = "chunk_id") -> DataFrame:
     """(key, ident, novelty, n_lines, first_lines): chunks with much text that isn't on their pages, or with
     a novel line. `first_lines` are the 0-based numbers of the first three."""
-    s = score(range_bag(chunks, pages, key, [key, ident]), bag(chunks, [key, ident]), [key, ident], chunks)
+    ref = materialize(range_bag(chunks, pages, key, [key, ident]), "page-words")
+    s = score(ref, bag(chunks, [key, ident]), [key, ident], chunks)
     with_pages = pages.select(key).distinct()
-    n = novel_lines(chunks, pages, key, ident).groupBy(key, ident).agg(F.array_sort(F.collect_list("line_no")).alias("l"))
+    n = novel_lines(chunks, pages, key, ident, ref).groupBy(key, ident).agg(F.array_sort(F.collect_list("line_no")).alias("l"))
     d = s.join(with_pages, key, "left_semi").join(n, [key, ident], "left")
     lines = F.coalesce("l", F.array().cast("array<int>"))
     d = d.select(key, ident, "novelty", F.size(lines).alias("n_lines"), F.slice(lines, 1, MOST_LINES).alias("first_lines"))

@@ -27,7 +27,7 @@ def heading_offset(page_key: Column, title_key: Column) -> Column:
 
 def page_words(pages: DataFrame, key: str, least: int) -> DataFrame:
     """(key, page_no, word): the word set of each page."""
-    return pages.select(key, "page_no", F.explode(F.array_distinct(T.words(F.col("text"), least))).alias("word"))
+    return pages.select(key, "page_no", F.explode_outer(F.array_distinct(T.words(F.col("text"), least))).alias("word")).where("word is not null")
 
 
 def title_hits(sections: DataFrame, pages: DataFrame, key: str, ident: str) -> DataFrame:
@@ -87,7 +87,7 @@ def locate_by_words(chunks: DataFrame, pages: DataFrame, key: str = "doc_id", id
     d = _windows(chunks, _last_pages(pages, key), key).where("__wlo <= __whi")
     pw = page_words(pages, key, 4)
     rare = pw.groupBy(key, "word").agg(F.collect_list("page_no").alias("on"), F.count(F.lit(1)).alias("df")).where(F.col("df") <= RARE_PAGES)
-    words = d.select(key, ident, "__wlo", "__whi", F.explode(F.array_distinct(T.words(F.col("text"), 4))).alias("word"))
+    words = d.select(key, ident, "__wlo", "__whi", F.explode_outer(F.array_distinct(T.words(F.col("text"), 4))).alias("word")).where("word is not null")
     words = words.join(rare.select(key, "word", "on"), [key, "word"])
     # at most three pages per word, so the opened rows stay in proportion to the words
     on = words.select(key, ident, "word", F.explode("on").alias("page_no"), "__wlo", "__whi").where(F.col("page_no").between(F.col("__wlo"), F.col("__whi")))

@@ -120,7 +120,7 @@ def keyword_scores(docs: DataFrame, queries: DataFrame, id_col: str = "id", text
     """(query_id, id, score): sum over the query's different words of round(1000 ln(1 + N / df)) where the
     text holds the word. Integer weights make the score exact."""
     n = docs.count()
-    dw = docs.select(F.col(id_col).alias("id"), F.explode(F.array_distinct(T.words(F.col(text_col), least))).alias("word"))
+    dw = docs.select(F.col(id_col).alias("id"), F.explode_outer(F.array_distinct(T.words(F.col(text_col), least))).alias("word")).where("word is not null")
     qw = queries.select(F.col(id_col).alias("query_id"), F.explode(F.array_distinct(T.words(F.col("query"), least))).alias("word"))
     used = dw.join(qw.select("word").distinct(), "word", "left_semi")
     df = used.groupBy("word").agg(F.count(F.lit(1)).alias("df"))

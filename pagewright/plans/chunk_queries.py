@@ -8,7 +8,7 @@ from pagewright.functions import text as T
 from pagewright.operators import chunks as C
 from pagewright.plans import sqltext as S
 from pagewright.plans.base import chunks, sections
-from pagewright.session import table
+from pagewright.session import spread, table
 
 LIMIT, WORD_LIMIT, TARGET = 256, 64, 512
 
@@ -29,13 +29,13 @@ def dedupe_chunks(spark, d):
 
 def enforce_limit(spark, d):
     p = C.enforce_token_limit(_raw(spark, d).select("chunk_id", "text"), LIMIT)
-    return p.select("chunk_id", F.posexplode("pieces").alias("pos", "piece"))
+    return p.select("chunk_id", F.posexplode_outer("pieces").alias("pos", "piece"))
 
 
 def split_long_sentence(spark, d):
-    s = table(spark, d, "documents").select("doc_id", F.posexplode(T.sentences(F.col("text"))).alias("pos", "sentence"))
+    s = spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.posexplode_outer(T.sentences(F.col("text"))).alias("pos", "sentence")).where("pos is not null")
     p = C.split_long_sentence(s, "sentence", WORD_LIMIT)
-    return p.select("doc_id", "pos", F.posexplode("pieces").alias("part", "piece"))
+    return p.select("doc_id", "pos", F.posexplode_outer("pieces").alias("part", "piece")).where("part is not null")
 
 
 def pack_pieces(spark, d):
@@ -65,7 +65,7 @@ def assemble_chunks(spark, d):
 
 def pack_chunks(spark, d):
     """Documents as lines, packed to the target: every document's chunks with their ids."""
-    t = table(spark, d, "documents").where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("ord", "text"))
+    t = spread(table(spark, d, "documents").where("text is not null").select("doc_id", "text")).select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("ord", "text"))
     t = t.where("text <> ''").withColumns({"keywords": F.array().cast("array<string>"), "cross_references": F.array().cast("array<string>"), "page_start": (F.floor(F.col("ord") / 3) + 1).cast("int"), "page_end": (F.floor(F.col("ord") / 3) + 1).cast("int")})
     p = C.pack_chunks(t, ["doc_id"], "ord", 128)
     return p.select("doc_id", F.col("grp").alias("chunk_index"), T.content_id("chk_", F.col("text")).alias("id"), T.token_count(F.col("text")).alias("token_count"), "page_start", "page_end", "n_pieces")

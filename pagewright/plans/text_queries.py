@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from pagewright.functions import text as T
 from pagewright.plans import sqltext as S
 from pagewright.plans.base import chunks, profiles, sections
-from pagewright.session import table
+from pagewright.session import spread, table
 
 
 def _docs(spark, d):
-    return table(spark, d, "documents").select("doc_id", "text")
+    return spread(table(spark, d, "documents").select("doc_id", "text"))
 
 
 def match_key(spark, d):
@@ -42,12 +42,12 @@ def toc_detect(spark, d):
 
 
 def sentences(spark, d):
-    s = _docs(spark, d).select("doc_id", F.posexplode(T.sentences(F.col("text"))).alias("pos", "sentence"))
+    s = _docs(spark, d).select("doc_id", F.posexplode_outer(T.sentences(F.col("text"))).alias("pos", "sentence")).where("pos is not null")
     return s.select("doc_id", "pos", "sentence")
 
 
 def paragraphs(spark, d):
-    s = _docs(spark, d).select("doc_id", F.posexplode(T.paragraphs(F.col("text"))).alias("pos", "paragraph"))
+    s = _docs(spark, d).select("doc_id", F.posexplode_outer(T.paragraphs(F.col("text"))).alias("pos", "paragraph")).where("pos is not null")
     return s.select("doc_id", "pos", "paragraph")
 
 
@@ -63,7 +63,7 @@ def clean_string(spark, d):
 
 def word_bag(spark, d):
     """Words of each document with their number."""
-    w = _docs(spark, d).select("doc_id", F.explode(T.words(F.col("text"))).alias("word"))
+    w = _docs(spark, d).select("doc_id", F.explode_outer(T.words(F.col("text"))).alias("word")).where("word is not null")
     return w.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -34,6 +34,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer partitions than the session has cores (few or unsplittable files) is dealt out to
+    all of them before costly work on its rows; larger scans stay as they are, without a shuffle. Takes
+    plain scans only: the partitions of a plan with exchanges aren't known before it runs."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    parts = scan._jdf.queryExecution().toRdd().getNumPartitions()
+    return scan.repartition(cores) if parts < cores else scan
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir where it is set, else a
     temporary folder of this machine (local mode and tests only)."""
