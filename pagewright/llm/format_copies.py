@@ -18,9 +18,9 @@ SALTS = 64
 
 
 def canonical_text(c: Column) -> Column:
-    """Letters and digits only, without letter case. Upper before lower folds letters whose
-    upper form is longer (the sharp s)."""
-    return F.lower(F.upper(F.regexp_replace(c, r"[^\p{L}\p{N}]+", "")))
+    """Letters and digits only, without letter case: the sharp s equals its capital form SS, the final
+    sigma the other one."""
+    return F.replace(F.replace(F.lower(F.regexp_replace(c, r"[^\p{L}\p{N}]+", "")), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
 
 
 def canonical_json(raw: str) -> Column:
@@ -35,7 +35,7 @@ def canonical_json(raw: str) -> Column:
     rec = f"case when size({one}) = 1 then try_cast({one}[0] as map<string,variant>) end"
 
     def text(x: str) -> str:
-        return rf"lower(upper(regexp_replace({x}, '[^\\p{{L}}\\p{{N}}]+', '')))"
+        return rf"replace(replace(lower(regexp_replace({x}, '[^\\p{{L}}\\p{{N}}]+', '')), 'ß', 'ss'), 'ς', 'σ')"
 
     value = (
         "case when schema_of_variant(m[k]) = 'STRING' then concat('s', " + text("variant_get(m[k], '$', 'string')") + ") "
