@@ -25,7 +25,9 @@ MAX_LENGTH = 3
 
 def line_key(source: Column, line: Column) -> Column:
     """16-byte identity of a line in its source: letters only, without case; null without letters."""
-    letters = F.lower(F.upper(F.regexp_replace(line, r"[^\p{L}]+", "")))
+    letters = F.lower(F.regexp_replace(line, r"[^\p{L}]+", ""))
+    # letters whose capital form is another one: the sharp s and the final sigma
+    letters = F.replace(F.replace(letters, F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
     key = F.unhex(F.md5(F.concat(source, F.lit("\x01"), letters).cast("binary")))
     return F.when(F.length(letters) > 0, key)
 
