@@ -75,12 +75,17 @@ def vector_topk(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str
     return _top(found, k)
 
 
-def fit_index(vectors: DataFrame, cells: int | None = None, id_col: str = "id", vec_col: str = "embedding", sample: int = FIT_SAMPLE, rounds: int = 15) -> np.ndarray:
-    """Cell centres (spherical k-means) from at most `sample` rows, chosen by a hash of their id."""
+def _sampled(vectors: DataFrame, id_col: str, vec_col: str, sample: int) -> np.ndarray:
+    """At most `sample` unit vectors, chosen by a hash of their id."""
     rows = vectors.where(F.col(vec_col).isNotNull()).select(id_col, vec_col).orderBy(F.xxhash64(id_col), id_col).limit(sample).toPandas()
     if rows.empty:
         raise ValueError("no vectors to fit an index on")
-    x = _matrix(rows[vec_col])
+    return _matrix(rows[vec_col])
+
+
+def fit_index(vectors: DataFrame, cells: int | None = None, id_col: str = "id", vec_col: str = "embedding", sample: int = FIT_SAMPLE, rounds: int = 15) -> np.ndarray:
+    """Cell centres (spherical k-means) from at most `sample` rows, chosen by a hash of their id."""
+    x = _sampled(vectors, id_col, vec_col, sample)
     cells = min(len(x), cells or max(1, int(math.sqrt(len(x)))))
     c = x[np.random.default_rng(7).choice(len(x), cells, replace=False)]
     for _ in range(rounds):
@@ -93,6 +98,17 @@ def fit_index(vectors: DataFrame, cells: int | None = None, id_col: str = "id",
     return c
 
 
+def probes_for(vectors: DataFrame, centres: np.ndarray, k: int = 5, target: float = 0.95, id_col: str = "id", vec_col: str = "embedding", sample: int = FIT_SAMPLE, queries: int = 500) -> int:
+    """The fewest cells to scan for a recall of `target` against brute force, measured on the sample."""
+    x = _sampled(vectors, id_col, vec_col, sample)
+    q = x[:queries]
+    true = np.argsort(-(q @ x.T), axis=1, kind="stable")[:, :k]
+    cell = (x @ centres.T).argmax(axis=1)
+    place = np.argsort(np.argsort(-(q @ centres.T), axis=1), axis=1)  # rank of every cell for each query
+    need = np.sort(np.take_along_axis(place, cell[true], axis=1).ravel())
+    return int(need[min(len(need) - 1, math.ceil(target * len(need)) - 1)]) + 1
+
+
 def assign_cells(vectors: DataFrame, centres: np.ndarray, probes: int = 1, id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
     """(id, vec, cell): every row in its nearest cell, or in its nearest `probes` cells (queries)."""
     src = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).where("vec is not null")

@@ -82,7 +82,7 @@ def index_topk(spark, d):
     """Approximate search: every row is indexed, the fit is on a bounded sample."""
     v = _vectors(spark, d)
     c = R.fit_index(v)
-    return R.index_topk(R.assign_cells(v, c), v.where("id % 20 = 0"), c, 5, probes=max(8, len(c) // 2)).select("query_id", "rank", "id")
+    return R.index_topk(R.assign_cells(v, c), v.where("id % 20 = 0"), c, 5, probes=R.probes_for(v, c, 5)).select("query_id", "rank", "id")
 
 
 def hybrid_topk(spark, d):
