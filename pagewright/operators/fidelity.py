@@ -18,6 +18,7 @@ COVERAGE_LOW, NOVELTY_HIGH, MIN_LAYER = 0.85, 0.15, 200
 CHUNK_MIN_WORDS, LINE_MIN_WORDS, LINE_ABSENT, MOST_LINES = 20, 4, 0.5, 3
 #: Everything that ends a line.
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+#: Texts of the hints (fixed values).
 MISATTRIBUTED, NOT_IN_LAYER = "misattributed pages", "not in the text layer of any page"
 
 

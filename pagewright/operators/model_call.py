@@ -171,6 +171,10 @@ def hash_embedder(dim: int = 1024, batch: int = 64):
     return embed
 
 
+#: Lines of the context block (fixed values).
+CONTEXT_HEAD, CONTEXT_SECTION = "DOCUMENT MAP (for context):", "CURRENT SECTION:"
+
+
 def document_context(profile: dict[str, Column], outline: Column, terms: Column, title: Column, kind: Column, summary: Column, most_terms: int = 40) -> Column:
     """The context block of a section's request. `outline` is the array of titles, `terms` an array of
     struct(term, definition); blank fields are left out."""
@@ -181,12 +185,12 @@ def document_context(profile: dict[str, Column], outline: Column, terms: Column,
     shown = F.array_join(F.transform(F.slice(terms, 1, most_terms), lambda t: F.concat(t["term"], F.lit(": "), t["definition"])), "; ")
     return F.concat_ws(
         "\n",
-        F.lit("DOCUMENT MAP (for context):"),
+        F.lit(CONTEXT_HEAD),
         *[line(k, v) for k, v in profile.items()],
         line("Section outline", F.array_join(outline, "; ")),
         line("Defined terms", shown),
         F.lit(""),
-        F.lit("CURRENT SECTION:"),
+        F.lit(CONTEXT_SECTION),
         F.concat(F.lit("- Title: "), title),
         F.concat(F.lit("- Type: "), kind),
         line("Summary", summary),
