@@ -16,8 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.functions import text as T
+from pagewright.session import materialize
 
 BLOCK = 20_000
+#: Texts of one block of keyword search.
+TEXT_BLOCK = 10_000
 #: Most rows the index is fitted on.
 FIT_SAMPLE = 50_000
 
@@ -151,5 +154,104 @@ def hybrid_topk(vector_hits: DataFrame, keyword_hits: DataFrame, k: int = 5, c:
     return _top(s, k)
 
 
+def _word_best(q: pd.DataFrame, v: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The best k texts of the block for each query (before is null), and for each text it asks for, how
+    many texts of the block stand before that one."""
+    out = []
+    v = v.sort_values("id")  # ties go to the smaller id
+    ids = v["id"].to_numpy()
+    if len(q) and len(v):
+        vocabulary = {w: i for i, w in enumerate({w for a in q["words"] for w in a})}
+        sizes = v["words"].map(len).to_numpy()
+        code = np.fromiter((vocabulary.get(w, -1) for a in v["words"] for w in a), np.int64, sizes.sum())
+        at = np.repeat(np.arange(len(v)), sizes)[code >= 0]
+        code = code[code >= 0]
+        at = at[np.argsort(code, kind="stable")]
+        ends = np.cumsum(np.bincount(code, minlength=len(vocabulary)))
+        for r in q.itertuples():
+            s = np.zeros(len(v), np.int64)
+            for word, weight in zip(r.words, r.weights, strict=True):
+                i = vocabulary[word]
+                s[at[ends[i - 1] if i else 0 : ends[i]]] += weight
+            found = np.flatnonzero(s)
+            if len(found) > k:
+                found = found[s[found] >= np.partition(s[found], -k)[-k]]
+            found = found[np.argsort(-s[found], kind="stable")[:k]]
+            out.append(pd.DataFrame({"query_id": r.id, "id": ids[found], "score": s[found], "before": None}))
+            if r.want_ids is not None and len(r.want_ids):
+                place = np.searchsorted(ids, r.want_ids)
+                n = [np.count_nonzero(s > t) + np.count_nonzero(s[:p] == t) for t, p in zip(r.want_scores, place, strict=True)]
+                out.append(pd.DataFrame({"query_id": r.id, "id": r.want_ids, "score": r.want_scores, "before": n}))
+    return pd.concat([x.astype({"before": "Int64"}) for x in out]) if out else pd.DataFrame({c: pd.Series([], dtype="Int64") for c in ("query_id", "id", "score", "before")})
+
+
+def keyword_ranks(docs: DataFrame, queries: DataFrame, depth: int, pairs: DataFrame, least: int = 4, block: int = TEXT_BLOCK) -> DataFrame:
+    """(query_id, id, rank) by the scores of `keyword_scores`, ties by id: the first `depth` texts of each query
+    and those of `pairs` (query_id, id) that share a word with it, at their rank among all texts. Blocks of
+    texts meet blocks of queries, so that no (query, text) pair is shuffled beyond these."""
+    n = docs.count()
+    v = docs.select("id", F.array_distinct(T.words(F.col("text"), least)).alias("words"))
+    df = v.select(F.explode_outer("words").alias("word")).where("word is not null").groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    weight = df.select("word", F.round(F.lit(1000.0) * F.log(F.lit(1.0) + F.lit(float(n)) / F.col("df"))).cast("bigint").alias("w"))
+    qw = queries.select(F.col("id").alias("query_id"), F.explode(F.array_distinct(T.words(F.col("query"), least))).alias("word"))
+    qw = materialize(qw.join(weight, "word"), "query-words")
+    asked = pairs.join(v, "id").select("query_id", "id", F.explode("words").alias("word")).join(qw, ["query_id", "word"])
+    asked = asked.groupBy("query_id", "id").agg(F.sum("w").alias("score")).groupBy("query_id").agg(F.collect_list(F.struct("id", "score")).alias("want"))
+    q = qw.groupBy("query_id").agg(F.collect_list(F.struct("word", "w")).alias("a")).join(asked, "query_id", "left")
+    q = q.select(F.col("query_id").alias("id"), F.col("a.word").alias("words"), F.col("a.w").alias("weights"), F.col("want.id").alias("want_ids"), F.col("want.score").alias("want_scores"))
+    q, v = _meet(materialize(q, "word-queries"), v, max(1, math.ceil(queries.count() / block)), max(1, math.ceil(n / block)))
+    kinds = f"query_id {q.schema['id'].dataType.simpleString()}, id {v.schema['id'].dataType.simpleString()}, score bigint, before bigint"
+    found = materialize(q.groupBy("vb", "qb").cogroup(v.groupBy("vb", "qb")).applyInPandas(lambda a, b: _word_best(a, b, depth), kinds), "word-ranks")
+    asked = found.where("before is not null").groupBy("query_id", "id").agg((F.sum("before") + 1).cast("int").alias("rank"))
+    return _top(found.where("before is null"), depth).select("query_id", "id", "rank").unionByName(asked).distinct()
+
+
+def _meet(q: DataFrame, v: DataFrame, nq: int, nv: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the keys vb and qb of every pair of their blocks."""
+    v = v.withColumn("vb", F.pmod(F.xxhash64("id"), F.lit(nv))).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)).cast("array<bigint>")))
+    return q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(nq))).withColumn("vb", F.explode(F.sequence(F.lit(0), F.lit(nv - 1)).cast("array<bigint>"))), v
+
+
+def _vectors_before(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
+    """For each vector a query asks for, how many vectors of the block stand before it."""
+    out = []
+    if len(q) and len(v):
+        v = v.sort_values("id")
+        vm, ids = _matrix(v["vec"]), v["id"].to_numpy()
+        for qm, r in zip(_matrix(q["vec"]), q.itertuples(), strict=True):
+            # einsum adds up each row alike, wherever it stands: equal vectors tie
+            s = np.einsum("ij,j->i", vm, qm)
+            t = np.einsum("ij,j->i", _matrix(pd.Series([*np.reshape(r.want_vecs, (len(r.want_ids), -1))])), qm)
+            place = np.searchsorted(ids, r.want_ids)
+            n = [np.count_nonzero(s > x) + np.count_nonzero(s[:p] == x) for x, p in zip(t, place, strict=True)]
+            out.append(pd.DataFrame({"query_id": r.id, "id": r.want_ids, "before": n}))
+    return pd.concat(out) if out else pd.DataFrame({c: pd.Series([], dtype="int64") for c in ("query_id", "id", "before")})
+
+
+def vector_ranks(vectors: DataFrame, queries: DataFrame, pairs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(query_id, id, rank): the rank of each of `pairs` (query_id, id) among all vectors, as `vector_topk` orders them."""
+    v = vectors.select("id", F.col("embedding").alias("vec")).where("vec is not null")
+    q = queries.select("id", F.col("embedding").alias("vec")).where("vec is not null")
+    nv, nq = (max(1, math.ceil(x.count() / block)) for x in (v, q))
+    want = pairs.join(v, "id").groupBy("query_id").agg(F.collect_list(F.struct("id", "vec")).alias("want"))
+    q = q.join(want.withColumnRenamed("query_id", "id"), "id").select("id", "vec", F.col("want.id").alias("want_ids"), F.flatten("want.vec").alias("want_vecs"))
+    q, v = _meet(materialize(q, "vector-queries"), v, nq, nv)
+    kinds = f"query_id {q.schema['id'].dataType.simpleString()}, id {v.schema['id'].dataType.simpleString()}, before bigint"
+    found = q.groupBy("vb", "qb").cogroup(v.groupBy("vb", "qb")).applyInPandas(_vectors_before, kinds)
+    return found.groupBy("query_id", "id").agg((F.sum("before") + 1).cast("int").alias("rank"))
+
+
+def hybrid_search(vectors: DataFrame, vector_queries: DataFrame, docs: DataFrame, queries: DataFrame, k: int = 5, c: int = 60) -> DataFrame:
+    """`hybrid_topk` of the two whole rankings: vectors (id, embedding), docs (id, text), queries (id, query).
+
+    Only the first c + 2k of each list and their ranks in the other list are formed. A row in neither has
+    2 / (2c + 2k + 1) at most; a list of k rows or more has k scores of 1 / (c + k) at least, which is more,
+    and shorter lists are whole."""
+    depth = c + 2 * k
+    near = materialize(vector_topk(vectors, vector_queries, depth).select("query_id", "id"), "near")
+    words = materialize(keyword_ranks(docs, queries, depth, near), "words")
+    return hybrid_topk(vector_ranks(vectors, vector_queries, near.union(words.select("query_id", "id")).distinct()), words, k, c)
+
+
 def ranked(scores: DataFrame, k: int) -> DataFrame:
     return _top(scores, k)

@@ -89,9 +89,7 @@ def hybrid_topk(spark, d):
     docs = table(spark, d, "documents").select((F.col("doc_id") - 1001).alias("id"), "text").where("text is not null")
     v = _vectors(spark, d)
     q = docs.where("id % 20 = 0").select("id", F.array_join(F.slice(T.words(F.col("text"), 4), 1, 8), " ").alias("query"))
-    words = R.ranked(R.keyword_scores(docs, q), 20)
-    near = R.vector_topk(v, v.where("id % 20 = 0"), 20)
-    return R.hybrid_topk(near, words, 5).select("query_id", "rank", "id")
+    return R.hybrid_search(v, v.where("id % 20 = 0"), docs, q, 5).select("query_id", "rank", "id")
 
 
 def text_filter(spark, d):
