@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pagewright.functions import text as T
 from pagewright.operators import curate as C
 from pagewright.operators import export as X
 from pagewright.operators import retrieve as R
@@ -88,7 +87,7 @@ def index_topk(spark, d):
 def hybrid_topk(spark, d):
     docs = table(spark, d, "documents").select((F.col("doc_id") - 1001).alias("id"), "text").where("text is not null")
     v = _vectors(spark, d)
-    q = docs.where("id % 20 = 0").select("id", F.array_join(F.slice(T.words(F.col("text"), 4), 1, 8), " ").alias("query"))
+    q = docs.where("id % 20 = 0").select("id", F.col("text").alias("query"))
     return R.hybrid_search(v, v.where("id % 20 = 0"), docs, q, 5).select("query_id", "rank", "id")
 
 

@@ -44,3 +44,11 @@ def test_rank_21_of_both_lists_beats_first_of_one(spark):
     q = spark.createDataFrame([(0, "word other")], "id long, query string")
     got = hits(R.hybrid_search(v, v.where("id = 0"), docs, q, 5))
     assert got[0] == (0, 1, 20)
+
+
+def test_registered_query_uses_all_words(spark, sf):
+    from pagewright.plans.export_queries import hybrid_topk
+
+    docs, v, q = parts(spark, sf)
+    whole = R.hybrid_topk(R.vector_topk(v, v.where("id % 20 = 0"), ALL), R.ranked(R.keyword_scores(docs, q), ALL), 5)
+    assert hits(hybrid_topk(spark, sf)) == hits(whole)
