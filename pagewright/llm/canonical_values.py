@@ -5,7 +5,8 @@ written it holds alias paths: the words in alphabetical order, and, inside every
 cut word to the next word. A Levenshtein automaton (insertions, deletions, substitutions, swaps of
 neighbours) walks the trie; its states are bit masks over the positions of the value, one per number
 of errors, so that one numpy step moves the automata of a whole Arrow batch of values. Branches in
-which no automaton is alive are left.
+which no automaton is alive are left. Longer values whose words may stand in any order are aligned with the
+names word by word (`fewest_errors`), which tries all orders without listing them.
 
 All entries within the length-dependent distance are returned, the closest first.
 """
@@ -54,6 +55,79 @@ def allowed(length: int) -> int:
     return 0 if length < 4 else 1 if length < 6 else 2 if length < 8 else 3 if length < 12 else 4 if length < 17 else 5
 
 
+def _least_letters(word: str) -> int:
+    """A word of a name may be cut to half of its letters at least, and to three."""
+    return max(3, -(-len(word) // 2))
+
+
+def _letter_counts(text: str) -> np.ndarray:
+    """How often each letter stands in the text; at the end all other signs together."""
+    n = np.zeros(len(_LETTERS) + 1, np.int64)
+    for c in text:
+        n[_LETTERS.find(c)] += 1
+    return n
+
+
+def fewest_errors(words: list[str], name: tuple[str, ...], limit: int) -> int | None:
+    """The fewest errors between the name and the words joined in any order, as the automaton counts
+    them, if at most `limit`. One row of errors per position in the name is kept for every set of used
+    words and last word; positions that the letters left can't bring within the limit are dropped."""
+    words, text = sorted(words), "".join(name)
+    size, big = len(text), limit + 1
+    jumps, end = {}, 0
+    for w in name:
+        end += len(w)
+        jumps[end] = range(1, len(w) - _least_letters(w) + 1)
+    left = np.stack([_letter_counts(text[i:]) for i in range(size + 1)])
+    left[:, -1] = 0  # other signs match nothing
+    counts = [_letter_counts(w) for w in words]
+
+    def finish(row: list[int], at: int) -> None:
+        """Letters of the name that are missing, from position `at` on."""
+        for i in range(at, size + 1):
+            if i and row[i - 1] + 1 < row[i]:
+                row[i] = row[i - 1] + 1
+            for back in jumps.get(i, ()):
+                if row[i - back] + 1 < row[i]:
+                    row[i] = row[i - back] + 1
+
+    first = [0] + [big] * size
+    finish(first, 1)
+    # (last word, used words) -> the rows before and after the last letter
+    states: dict[tuple[int, int], tuple[list[int] | None, list[int]]] = {(-1, 0): (None, first)}
+    for _ in words:
+        after: dict[tuple[int, int], tuple[list[int] | None, list[int]]] = {}
+        need: dict[int, list[int]] = {}
+        for (last, used), (before, row) in states.items():
+            for j, word in enumerate(words):
+                if used >> j & 1 or j and word == words[j - 1] and not used >> (j - 1) & 1:
+                    continue
+                old, now, previous = before, row, words[last][-1] if last >= 0 else ""
+                for c in word:
+                    new = [min(x + 1, big) for x in now]
+                    for i in range(1, size + 1):
+                        if (x := now[i - 1] + (text[i - 1] != c or c not in _LETTERS)) < new[i]:
+                            new[i] = x
+                        if i > 1 and old and text[i - 1] == previous and text[i - 2] == c and old[i - 2] + 1 < new[i]:
+                            new[i] = old[i - 2] + 1
+                    finish(new, 1)
+                    old, now, previous = now, new, c
+                to = used | 1 << j
+                if to not in need:
+                    rest = sum((counts[k] for k in range(len(words)) if not to >> k & 1), np.zeros(len(_LETTERS) + 1, np.int64))
+                    need[to] = np.maximum(rest - left, 0).sum(axis=1).tolist()
+                now = [x if x + y <= limit else big for x, y in zip(now, need[to], strict=True)]
+                if min(now) > limit and min(old) > limit:
+                    continue
+                if (j, to) in after:
+                    a, b = after[j, to]
+                    old, now = [*map(min, a, old)], [*map(min, b, now)]
+                after[j, to] = old, now
+        states = after
+    best = min((row[size] for _, row in states.values()), default=big)
+    return best if best <= limit else None
+
+
 @dataclass
 class Node:
     children: dict[str, Node] = field(default_factory=dict)
@@ -70,18 +144,22 @@ class Matcher:
 
     def __init__(self, names: list[tuple[int, str]]):
         self.root = Node()
+        self.paths: list[tuple[int, tuple[str, ...]]] = []
         for entry, name in names:
             words = words_of(name)
             if not words or sum(map(len, words)) > MAX_LETTERS:
                 continue
             for path in {tuple(words), tuple(sorted(words))}:
                 self._add(entry, path)
+                self.paths.append((entry, path))
+        self.letters = np.stack([_letter_counts("".join(p)) for _, p in self.paths]) if self.paths else np.zeros((0, len(_LETTERS) + 1), np.int64)
+        self.letters[:, -1] = 0  # other signs match nothing
+        self.sizes = [sum(map(len, p)) for _, p in self.paths]
 
     def _add(self, entry: int, words: tuple[str, ...]) -> None:
         node = self.root
         for w in words:
-            # cut to half of its letters at least, and to three
-            least = max(3, -(-len(w) // 2))
+            least = _least_letters(w)
             for p, c in enumerate(w, 1):
                 node = node.children.setdefault(c, Node(letters=node.letters + 1))
                 node.look = max(node.look, p - least)
@@ -157,6 +235,21 @@ class Matcher:
         visit(self.root, [start], [], np.arange(len(qs)))
         return out
 
+    def align(self, words: list[str]) -> dict[int, int]:
+        """The entries within the distance of the words in any order: {entry: errors}."""
+        found: dict[int, int] = {}
+        size = sum(map(len, words))
+        # a letter of the value that the name lacks is an error in every order
+        lacking = np.maximum(_letter_counts("".join(words))[None, :] - self.letters, 0).sum(axis=1)
+        for k in np.flatnonzero(lacking <= allowed(size + 2)):
+            entry, path = self.paths[k]
+            most = min(allowed(size + 2), allowed(max(size, self.sizes[k])))
+            # a small limit leaves few states, so that the limits are tried in turn
+            e = next((e for limit in range(lacking[k], most + 1) if (e := fewest_errors(words, path, limit)) is not None), None)
+            if e is not None:
+                found[entry] = min(e, found.get(entry, 99))
+        return found
+
     def match(self, values: list[str]) -> list[list[tuple[int, int]]]:
         """Per value the (entry, errors) pairs within its distance, closest first, ties by entry."""
         typed, ordered = [], []
@@ -174,6 +267,10 @@ class Matcher:
         for (i, _), y in zip(rest, self.search([q for _, q in rest]), strict=True):
             for entry, e in y.items():
                 a[i][entry] = min(e, a[i].get(entry, 99))
+        # longer values have too many orders for that
+        for i, v in enumerate(values):
+            if not a[i] and len(w := words_of(v)) > 4 and sum(map(len, w)) <= MAX_LETTERS:
+                a[i].update(self.align(w))
         return [sorted(x.items(), key=lambda t: (t[1], t[0])) for x in a]
 
 

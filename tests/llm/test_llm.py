@@ -1,5 +1,6 @@
 """Operators for training data: brute force, exact round trips and edge cases."""
 
+import itertools
 import random
 import re
 import unicodedata
@@ -137,6 +138,34 @@ def test_automaton_equals_edit_distance():
                 assert got[i] <= e  # a jump over the rest of a word may be shorter still
 
 
+def test_longer_values_match_in_every_order():
+    names = [(8, "second look at a denial"), (38, "gym and coaching rewards"), (27, "keeping cover after leaving"), (5, "payouts")]
+    m = V.Matcher(names)
+    for v, got in (
+        ("xook, second, at, a, denial", [(8, 1)]), ("and, coachin,g rewards, gym", [(38, 0)]), ("a, xook, denial, at, secnod", [(8, 2)]),
+        ("gym, and, xoaching, re wards", [(38, 1)]), ("one, two, three, four, five", []), ("z " * 30, []),
+    ):
+        assert m.match([v])[0] == got, v
+
+
+def test_alignment_equals_the_best_order():
+    rng = random.Random(5)
+    names = ["abc bca cabba", "aabb cc bab"]
+    m = V.Matcher(list(enumerate(names)))
+    for _ in range(150):
+        words = rng.choice(names).split()
+        rng.shuffle(words)
+        text = list(" ".join(words))
+        for _ in range(rng.randint(0, 4)):
+            text[rng.randrange(len(text))] = rng.choice("abcd ")
+        words = "".join(text).split()
+        best = {}
+        for found in m.search(["".join(p) for p in set(itertools.permutations(words))]):
+            for k, e in found.items():
+                best[k] = min(e, best.get(k, 99))
+        assert m.align(words) == best, words
+
+
 # 6
 
 
