@@ -36,6 +36,22 @@ def _request(pages: DataFrame, ranges: DataFrame, kind: str, keys: list[str]) ->
     return p.select(*keys, F.to_json(body).alias("request"))
 
 
+LISTS = ("effective_dates", "glossary", "cross_references")
+
+
+def _lists(parts: DataFrame) -> dict[str, DataFrame]:
+    """(doc_id, list) of each of LISTS: the entries of all partial maps in batch order, without repeats."""
+    order = ["batch", "pos"]
+    each = {c: parts.select("doc_id", "batch", F.posexplode(f"o.{c}").alias("pos", c)) for c in LISTS}
+    terms = O.merge_glossary(each["glossary"].select("doc_id", *order, "glossary.*"), order=order)
+    merged = {
+        "effective_dates": O.dedupe_strings(each["effective_dates"], "doc_id", "effective_dates", order),
+        "glossary": terms.withColumn("glossary", F.struct("term", "definition")),
+        "cross_references": O.sanitize_references(each["cross_references"], "doc_id", "cross_references", order),
+    }
+    return {c: m.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(*order, c))).getField(c).alias(c)) for c, m in merged.items()}
+
+
 def analyze(pages: DataFrame, config: EngineConfig = EngineConfig(), client: Callable[[], Proposer] = RuleProposer) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(profiles, sections, usage) of the documents in `pages` (doc_id, page_no, text)."""
     docs = pages.groupBy("doc_id").agg(F.max("page_no").alias("page_count"))
@@ -54,6 +70,9 @@ def analyze(pages: DataFrame, config: EngineConfig = EngineConfig(), client: Cal
     sections = O.number_sections(O.fill_gaps(grounded, docs))
     meta = parts.select("doc_id", "batch", *[F.col(f"o.{c}").alias(c) for c in ("doc_type", "title", "plan_name", "sponsor", "notes")])
     first = O.first_nonempty(meta, "doc_id", "batch", ["doc_type", "title", "plan_name", "sponsor", "notes"], {"doc_type": "unknown"})
+    lists = _lists(parts)
+    for c in LISTS:
+        first = first.join(lists[c], "doc_id", "left").withColumn(c, F.coalesce(c, F.array().cast(OUTLINE[c].dataType)))
     return docs.join(first, "doc_id", "left"), materialize(sections, "sections"), called.select("model", *COUNTERS)
 
 

@@ -33,6 +33,29 @@ def test_pipeline_covers_the_source(spark):
     assert [x.chunk_index for x in r.chunks.where("doc_id = 1").orderBy("chunk_index").collect()] == list(range(r.chunks.where("doc_id = 1").count()))
 
 
+def test_lists_of_all_partial_maps_reach_the_profiles(spark, tmp_path):
+    from pagewright.config import EngineConfig
+
+    class Terms:
+        """Answers each outline request with a term, a reference and a date of its first page and ones of all."""
+
+        name = "terms"
+
+        def propose(self, request, repair=None):
+            first = request["pages"][0]
+            maps = {"d1": {"glossary": [{"term": f"T {first}", "definition": "x"}, {"term": "All ", "definition": first}], "cross_references": ["; See 1", f"See {first}"], "effective_dates": ["2020", f"in {first}", " "]}}
+            return M.Answer(json.dumps({"sections": []} | maps.get(request["id"].split(":")[0], {})), self.name, {"input_tokens": 1, "output_tokens": 1})
+
+    pages = spark.createDataFrame([(d, n, f"page{n}") for d in ("d1", "d2") for n in range(1, 4)], "doc_id string, page_no int, text string")
+    profiles, _, _ = pipeline.analyze(pages, EngineConfig(max_pages_per_batch=2, batch_overlap_pages=1), Terms)
+    p = {r.doc_id: r for r in profiles.collect()}
+    assert [(t.term.strip(), t.definition) for t in p["d1"].glossary] == [("T page1", "x"), ("All", "page1"), ("T page2", "x")]
+    assert p["d1"].cross_references == ["See 1", "See page1", "See page2"] and p["d1"].effective_dates == ["2020", "in page1", "in page2"]
+    assert p["d2"].glossary == p["d2"].cross_references == p["d2"].effective_dates == []
+    writers.write_profiles(profiles.withColumnRenamed("doc_id", "source_file"), str(tmp_path / "p"))
+    assert {r.source_file: len(r.glossary) for r in readers.read_profiles(spark, str(tmp_path / "p")).collect()}["d1"] == 3
+
+
 def test_chunk_lines_round_trip(spark, tmp_path):
     p = tmp_path / "c"
     p.mkdir()
