@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_ENTRIES = 50_000
+#: Most letters that fit into the automaton's states; longer names and values are aligned one by one.
 MAX_LETTERS = 60
 MEMO = 200_000
 _LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
@@ -147,14 +148,15 @@ class Matcher:
         self.paths: list[tuple[int, tuple[str, ...]]] = []
         for entry, name in names:
             words = words_of(name)
-            if not words or sum(map(len, words)) > MAX_LETTERS:
+            if not words:
                 continue
             for path in {tuple(words), tuple(sorted(words))}:
-                self._add(entry, path)
+                if sum(map(len, path)) <= MAX_LETTERS:
+                    self._add(entry, path)
                 self.paths.append((entry, path))
         self.letters = np.stack([_letter_counts("".join(p)) for _, p in self.paths]) if self.paths else np.zeros((0, len(_LETTERS) + 1), np.int64)
         self.letters[:, -1] = 0  # other signs match nothing
-        self.sizes = [sum(map(len, p)) for _, p in self.paths]
+        self.sizes = np.array([sum(map(len, p)) for _, p in self.paths], np.int64)
 
     def _add(self, entry: int, words: tuple[str, ...]) -> None:
         node = self.root
@@ -235,15 +237,16 @@ class Matcher:
         visit(self.root, [start], [], np.arange(len(qs)))
         return out
 
-    def align(self, words: list[str]) -> dict[int, int]:
-        """The entries within the distance of the words in any order: {entry: errors}."""
+    def align(self, words: list[str], least: int = 0) -> dict[int, int]:
+        """The entries with a name of `least` letters or more within the distance of the words in any order:
+        {entry: errors}."""
         found: dict[int, int] = {}
         size = sum(map(len, words))
         # a letter of the value that the name lacks is an error in every order
         lacking = np.maximum(_letter_counts("".join(words))[None, :] - self.letters, 0).sum(axis=1)
-        for k in np.flatnonzero(lacking <= allowed(size + 2)):
+        for k in np.flatnonzero((lacking <= allowed(size + 2)) & (self.sizes >= least)):
             entry, path = self.paths[k]
-            most = min(allowed(size + 2), allowed(max(size, self.sizes[k])))
+            most = min(allowed(size + 2), allowed(max(size, int(self.sizes[k]))))
             # a small limit leaves few states, so that the limits are tried in turn
             e = next((e for limit in range(lacking[k], most + 1) if (e := fewest_errors(words, path, limit)) is not None), None)
             if e is not None:
@@ -262,6 +265,13 @@ class Matcher:
         for x, y in zip(a, b, strict=True):
             for entry, e in y.items():
                 x[entry] = min(e, x.get(entry, 99))
+        # what the automaton left out: long names, and all names for long values
+        least = [0 if len(q) > MAX_LETTERS else MAX_LETTERS + 1 for q in typed]
+        longest = self.sizes.max(initial=0)
+        for i, q in enumerate(typed):
+            for text in {q, ordered[i]} - {""} if longest >= least[i] else ():
+                for entry, e in self.align([text], least[i]).items():
+                    a[i][entry] = min(e, a[i].get(entry, 99))
         # an error in a first letter also changes the alphabetical order: try every order of few words
         rest = [(i, "".join(p)) for i, v in enumerate(values) if not a[i] and 2 <= len(w := words_of(v)) <= 4 for p in permutations(w)]
         for (i, _), y in zip(rest, self.search([q for _, q in rest]), strict=True):
@@ -269,8 +279,8 @@ class Matcher:
                 a[i][entry] = min(e, a[i].get(entry, 99))
         # longer values have too many orders for that
         for i, v in enumerate(values):
-            if not a[i] and len(w := words_of(v)) > 4 and sum(map(len, w)) <= MAX_LETTERS:
-                a[i].update(self.align(w))
+            if not a[i] and len(w := words_of(v)) > 1 and (len(w) > 4 or longest >= least[i]):
+                a[i].update(self.align(w, 0 if len(w) > 4 else least[i]))
         return [sorted(x.items(), key=lambda t: (t[1], t[0])) for x in a]
 
 

@@ -148,6 +148,16 @@ def test_longer_values_match_in_every_order():
         assert m.match([v])[0] == got, v
 
 
+def test_long_names_and_values_match():
+    long = "deputy associate director of interdepartmental infrastructure administration and procurement"
+    m = V.Matcher([(1, long), (2, "payouts"), (3, "a" * 29 + " " + "b" * 30)])
+    for v, got in (
+        (long, [(1, 0)]), (long.replace("director", "dixector"), [(1, 1)]), (", ".join(long.split()[::-1]), [(1, 0)]), (long.replace("administration", "admin"), [(1, 3)]),
+        (long.replace("administration", "administ"), [(1, 1)]), ("b" * 32 + " " + "a" * 29, [(3, 2)]), ("a" * 29 + "b" * 32, [(3, 2)]), ("payout", [(2, 1)]),
+    ):
+        assert m.match([v])[0] == got, v
+
+
 def test_alignment_equals_the_best_order():
     rng = random.Random(5)
     names = ["abc bca cabba", "aabb cc bab"]
