@@ -274,14 +274,64 @@ def test_spam_pages(spark):
     assert W.spam_pages(d.limit(0), l).count() == 0
 
 
+def test_both_kinds_of_evidence_decide(spark):
+    """Pages of words outside sentences are spam only if other hosts hold their phrases, and phrases of other hosts
+    are spam only outside sentences: dropping either evidence changes the result."""
+    rng = random.Random(5)
+    name = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(9))
+    keys = [f"{a} {b} {c}" for a in ("cheap", "best", "top") for b in ("cover", "quote") for c in ("oston", "darley", "velmora")]
+    rows, labels = [], []
+    for i in range(300):
+        kind = i % 3
+        if kind == 0:  # keyword phrases
+            text = " | ".join(rng.sample(keys, 12))
+        elif kind == 1:  # a directory of names
+            text = " | ".join(f"{name()} {name()} {name()}" for _ in range(12))
+        else:  # sentences in common phrases
+            text = " ".join(f"After the close of the year ask for the {rng.choice(keys)} form at the office nearby." for _ in range(4))
+        rows.append((i, text, f"host{i % 20}"))
+        if i < 240:
+            labels.append((i, int(kind == 0)))
+    d = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    l = spark.createDataFrame(labels, "doc_id int, is_spam int")
+    found = lambda p: {r.doc_id for r in p.where("is_spam").collect()}
+    spam = {i for i in range(300) if i % 3 == 0}
+    p = W.spam_pages(d, l)
+    assert found(p) == spam
+    weights = W.fit_labels(p.drop("score", "is_spam"), l)
+    assert all(w >= 0 for w in weights[1:])
+    weights[1 + W.FEATURES.index("replicated")] = 0
+    assert found(p.withColumn("is_spam", W.score(weights) > 0.5)) < spam
+    # the evidence itself: names are not replicated, sentences are no lists
+    e = {r.doc_id: r for r in p.collect()}
+    assert min(e[i].replicated for i in spam) > 0.5 and max(e[i].replicated for i in range(1, 300, 3)) == 0
+    assert all(e[i].list_density == 0 and e[i].replicated == 0 for i in range(2, 300, 3))
+    # the same pages on one host are not replicated, a copied page counts on every host
+    one = W.page_evidence(d.withColumn("source", F.lit("h")))
+    assert one.agg(F.max("replicated")).collect()[0][0] == 0
+    copies = spark.createDataFrame([(k, "alpha beta gamma | delta epsilon", f"h{k}") for k in range(4)], "doc_id int, text string, source string")
+    assert W.page_evidence(copies).agg(F.min("replicated")).collect()[0][0] > 0
+    assert W.page_evidence(copies.where("doc_id > 0")).agg(F.max("replicated")).collect()[0][0] == 0
+
+
+def test_labels_of_one_class_teach_nothing(spark):
+    d = spark.createDataFrame([(1, "cheap cover, cheap cover", "h"), (2, None, "h")], "doc_id int, text string, source string")
+    for rows in ([(1, 1)], []):
+        got = W.spam_pages(d, spark.createDataFrame(rows, "doc_id int, is_spam int")).collect()
+        assert [(r.doc_id, r.score, r.is_spam) for r in got] == [(1, None, None)]
+
+
 def test_held_out_accuracy(spark):
     """Trained on the labels of even documents, right on those of odd ones."""
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     lab = spark.read.parquet(f"{sf}/page_labels.parquet").where("is_spam is not null")
-    p = W.spam_pages(spark.read.parquet(f"{sf}/documents.parquet"), lab.where("doc_id % 2 = 0"))
-    t = p.select("doc_id", F.col("is_spam").alias("got")).join(lab.where("doc_id % 2 = 1"), "doc_id").select((F.col("got").cast("int") == F.col("is_spam")).alias("ok"))
-    ok = [r.ok for r in t.collect()]
-    assert len(ok) > 20 and sum(ok) / len(ok) >= 0.95
+    even, odd = lab.where("doc_id % 2 = 0"), lab.where("doc_id % 2 = 1")
+    assert even.where("is_spam = 1").count() > 40
+    p = W.spam_pages(spark.read.parquet(f"{sf}/documents.parquet"), even)
+    t = p.select("doc_id", F.col("is_spam").cast("int").alias("got")).join(odd, "doc_id").select("got", "is_spam").collect()
+    assert len(t) > 400 and sum(r.is_spam for r in t) > 40
+    assert sum(r.got == r.is_spam for r in t) / len(t) >= 0.99
+    assert sum(r.got and r.is_spam for r in t) / sum(r.is_spam for r in t) >= 0.95
 
 
 def test_nothing_else_imports_the_package():
