@@ -1,54 +1,63 @@
 """Mapping free-entered values to a reference list.
 
 The names of all entries (canonical spelling, label, other names) form a trie. Besides the name as
-written it holds alias paths: the words in alphabetical order, and, inside every path, a jump from a
-cut word to the next word. A Levenshtein automaton (insertions, deletions, substitutions, swaps of
+written it holds alias paths: the words in alphabetical order, and, from inside every word, a jump to the
+end of the word, where it may be cut. A Levenshtein automaton (insertions, deletions, substitutions, swaps of
 neighbours) walks the trie; its states are bit masks over the positions of the value, one per number
-of errors, so that one numpy step moves the automata of a whole Arrow batch of values. Branches in
-which no automaton is alive are left. Longer values whose words may stand in any order are aligned with the
-names word by word (`fewest_errors`), which tries all orders without listing them.
+of errors and 64 positions, so that one numpy step moves the automata of a whole Arrow batch of values. Branches
+in which no automaton is alive are left at once. Names and values may be of any length and in any script.
+Longer values whose words may stand in any order are aligned with the names word by word (`fewest_errors`), which
+tries all orders without listing them.
 
 All entries within the length-dependent distance are returned, the closest first.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import permutations
+from functools import reduce
+from itertools import chain, permutations
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.session import materialize
+
+#: Entries of one block; a longer reference list is searched block by block.
 MAX_ENTRIES = 50_000
-#: Most letters that fit into the automaton's states; longer names and values are aligned one by one.
-MAX_LETTERS = 60
+#: Values a worker remembers.
 MEMO = 200_000
-_LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
+#: Values that are searched at once.
+BATCH = 4096
+_WORD = regex.compile(r"[\p{L}\p{N}][\p{L}\p{N}\p{M}]*")
 
 _LEAD = re.compile(
-    r"^[^a-z0-9§]*(?:§+|(?:sec|sect|section|art|article|part|pt|chapter|ch|no)\b[^a-z0-9]*(?=[0-9ivx]+\b)|"
+    r"^[^\w§]*(?:§+|(?:sec|sect|section|art|article|part|pt|chapter|ch|no)\b[\W_]*(?=[0-9ivx]+\b)|"
     r"(?:sec|sect|section|art|article)\b(?=\W)|\(?(?:\d{1,3}|[ivxl]{1,5}|[a-z])(?:[.):\]]+|\s+[-–—]+(?=\s|[a-z]))|\d{1,3}\s+)\s*"
 )
-_TAIL = re.compile(r"(?:[^a-z0-9]+(?:pt|part|page|p|no|sec|sect)?[^a-z0-9]*\d{1,4}|[^a-z0-9]+(?:cont|contd|continued)|[^a-z0-9]+(?:sec|sect|section))[^a-z0-9]*s?$")
+_TAIL = re.compile(r"(?:[\W_]+(?:pt|part|page|p|no|sec|sect)?[\W_]*\d{1,4}|[\W_]+(?:cont|contd|continued)|[\W_]+(?:sec|sect|section))[\W_]*s?$")
 
 
 def words_of(value: str) -> list[str]:
-    """The words of a value without case, accents, numbering and continuation marks."""
+    """The words of a value without case, accents (of the general block of combining marks), numbering and
+    continuation marks. Vowel signs and other marks of a script stay."""
     s = unicodedata.normalize("NFKD", value).casefold().replace("_", " ")
-    s = "".join(c for c in s if not unicodedata.combining(c))
+    s = "".join(c for c in s if not "\u0300" <= c <= "\u036f")
     s = re.sub(r"\s+", " ", s).strip()
     for pattern in (_LEAD, _TAIL):
         while True:
             t = pattern.sub("", s, count=1)
-            if t == s or not re.search(r"[a-z0-9]", t):
+            if t == s or not re.search(r"[^\W_]", t):
                 break
             s = t
-    return re.findall(r"[^\W_]+", s)
+    return _WORD.findall(s)
 
 
 def allowed(length: int) -> int:
@@ -61,11 +70,11 @@ def _least_letters(word: str) -> int:
     return max(3, -(-len(word) // 2))
 
 
-def _letter_counts(text: str) -> np.ndarray:
-    """How often each letter stands in the text; at the end all other signs together."""
-    n = np.zeros(len(_LETTERS) + 1, np.int64)
+def _letter_counts(text: str, place: dict[str, int]) -> np.ndarray:
+    """How often each letter of `place` stands in the text; at the end all other letters together."""
+    n = np.zeros(len(place) + 1, np.int64)
     for c in text:
-        n[_LETTERS.find(c)] += 1
+        n[place.get(c, -1)] += 1
     return n
 
 
@@ -75,13 +84,13 @@ def fewest_errors(words: list[str], name: tuple[str, ...], limit: int) -> int |
     words and last word; positions that the letters left can't bring within the limit are dropped."""
     words, text = sorted(words), "".join(name)
     size, big = len(text), limit + 1
+    place = {c: i for i, c in enumerate(sorted(set(text)))}
     jumps, end = {}, 0
     for w in name:
         end += len(w)
         jumps[end] = range(1, len(w) - _least_letters(w) + 1)
-    left = np.stack([_letter_counts(text[i:]) for i in range(size + 1)])
-    left[:, -1] = 0  # other signs match nothing
-    counts = [_letter_counts(w) for w in words]
+    left = np.stack([_letter_counts(text[i:], place) for i in range(size + 1)])
+    counts = [_letter_counts(w, place) for w in words]
 
     def finish(row: list[int], at: int) -> None:
         """Letters of the name that are missing, from position `at` on."""
@@ -107,7 +116,7 @@ def fewest_errors(words: list[str], name: tuple[str, ...], limit: int) -> int |
                 for c in word:
                     new = [min(x + 1, big) for x in now]
                     for i in range(1, size + 1):
-                        if (x := now[i - 1] + (text[i - 1] != c or c not in _LETTERS)) < new[i]:
+                        if (x := now[i - 1] + (text[i - 1] != c)) < new[i]:
                             new[i] = x
                         if i > 1 and old and text[i - 1] == previous and text[i - 2] == c and old[i - 2] + 1 < new[i]:
                             new[i] = old[i - 2] + 1
@@ -115,7 +124,7 @@ def fewest_errors(words: list[str], name: tuple[str, ...], limit: int) -> int |
                     old, now, previous = now, new, c
                 to = used | 1 << j
                 if to not in need:
-                    rest = sum((counts[k] for k in range(len(words)) if not to >> k & 1), np.zeros(len(_LETTERS) + 1, np.int64))
+                    rest = sum((counts[k] for k in range(len(words)) if not to >> k & 1), np.zeros(len(place) + 1, np.int64))
                     need[to] = np.maximum(rest - left, 0).sum(axis=1).tolist()
                 now = [x if x + y <= limit else big for x, y in zip(now, need[to], strict=True)]
                 if min(now) > limit and min(old) > limit:
@@ -129,15 +138,31 @@ def fewest_errors(words: list[str], name: tuple[str, ...], limit: int) -> int |
     return best if best <= limit else None
 
 
-@dataclass
+@dataclass(eq=False)
 class Node:
     children: dict[str, Node] = field(default_factory=dict)
     entries: list[int] = field(default_factory=list)
-    #: at the end of a word: how many steps back the word may have been cut
-    jumps: set[int] = field(default_factory=set)
-    #: inside a word: how many steps back a jump from further down may begin
-    look: int = 0
+    #: the ends of words that may be cut here
+    cuts: dict[Node, None] = field(default_factory=dict)
     letters: int = 0
+    #: numbers of the node and of the last node below it, in the order of a walk
+    first: int = 0
+    last: int = 0
+
+
+def _up(x: np.ndarray) -> np.ndarray:
+    """Every position moved on by one; axis -2 holds the 64-bit words of a mask."""
+    out = x << np.uint64(1)
+    if x.shape[-2] > 1:
+        out[..., 1:, :] |= x[..., :-1, :] >> np.uint64(63)
+    return out
+
+
+def _down(x: np.ndarray) -> np.ndarray:
+    out = x >> np.uint64(1)
+    if x.shape[-2] > 1:
+        out[..., :-1, :] |= x[..., 1:, :] << np.uint64(63)
+    return out
 
 
 class Matcher:
@@ -151,100 +176,137 @@ class Matcher:
             if not words:
                 continue
             for path in {tuple(words), tuple(sorted(words))}:
-                if sum(map(len, path)) <= MAX_LETTERS:
-                    self._add(entry, path)
+                self._add(entry, path)
                 self.paths.append((entry, path))
-        self.letters = np.stack([_letter_counts("".join(p)) for _, p in self.paths]) if self.paths else np.zeros((0, len(_LETTERS) + 1), np.int64)
-        self.letters[:, -1] = 0  # other signs match nothing
+        self._number()
+        self.place = {c: i for i, c in enumerate(sorted({c for _, p in self.paths for w in p for c in w}))}
+        self.letters = np.stack([_letter_counts("".join(p), self.place) for _, p in self.paths]) if self.paths else np.zeros((0, 1), np.int64)
         self.sizes = np.array([sum(map(len, p)) for _, p in self.paths], np.int64)
 
     def _add(self, entry: int, words: tuple[str, ...]) -> None:
         node = self.root
         for w in words:
-            least = _least_letters(w)
+            inside = []
             for p, c in enumerate(w, 1):
                 node = node.children.setdefault(c, Node(letters=node.letters + 1))
-                node.look = max(node.look, p - least)
-            node.jumps.update(range(1, len(w) - least + 1))
+                if _least_letters(w) <= p < len(w):
+                    inside.append(node)
+            for n in inside:
+                n.cuts[node] = None
         if entry not in node.entries:
             node.entries.append(entry)
 
+    def _number(self) -> None:
+        order, stack = [], [self.root]
+        while stack:
+            node = stack.pop()
+            node.first = len(order)
+            order.append(node)
+            stack.extend(node.children.values())
+        for node in reversed(order):
+            node.last = max([node.first, *(c.last for c in node.children.values())])
+
     def search(self, queries: list[str]) -> list[dict[int, int]]:
-        """Per query (letters and digits only) the entries within its distance: {entry: errors}."""
+        """Per query (joined words) the entries within its distance: {entry: errors}."""
         out: list[dict[int, int]] = [{} for _ in queries]
-        index = np.array([i for i, q in enumerate(queries) if 0 < len(q) <= MAX_LETTERS], np.int64)
-        if not len(index):
-            return out
+        # queries whose masks take as many words walk together
+        width: dict[int, list[int]] = {}
+        for i, q in enumerate(queries):
+            if q:
+                width.setdefault(len(q) // 64 + 1, []).append(i)
+        for w, index in width.items():
+            for at in range(0, len(index), max(1, BATCH // w)):
+                self._walk(queries, np.array(index[at : at + max(1, BATCH // w)], np.int64), w, out)
+        return out
+
+    def _walk(self, queries: list[str], index: np.ndarray, width: int, out: list[dict[int, int]]) -> None:
         qs = [queries[i] for i in index]
-        length = np.array([len(q) for q in qs], np.uint64)
+        length = np.array([len(q) for q in qs])
         # a name may be longer than the value, then its own length counts
         most = np.array([allowed(len(q) + 2) for q in qs])
         errors = int(most.max())
-        masks = {c: np.zeros(len(qs), np.uint64) for c in _LETTERS}
+        masks = {c: np.zeros((width, len(qs)), np.uint64) for c in self.place}
         for i, q in enumerate(qs):
             for p, c in enumerate(q):
                 if c in masks:
-                    masks[c][i] |= np.uint64(1 << p)
-        one, two = np.uint64(1), np.uint64(2)
-        full = (one << (length + one)) - one  # positions 0..length
-        start = np.stack([np.minimum((one << np.uint64(j + 1)) - one, full) & full for j in range(errors + 1)])
-        # levels above a query's own distance stay empty
-        start[np.arange(errors + 1)[:, None] > most[None, :]] = 0
-        may = (np.arange(errors + 1)[:, None] <= most[None, :]).astype(np.uint64) * full[None, :]
+                    masks[c][p // 64, i] |= np.uint64(1 << p % 64)
+
+        def ones(n: np.ndarray) -> np.ndarray:
+            """Masks of the positions 0 to n - 1."""
+            bits = np.clip(n[None, :] - 64 * np.arange(width)[:, None], 0, 64)
+            return np.where(bits == 64, ~np.uint64(0), (np.uint64(1) << (bits % 64).astype(np.uint64)) - np.uint64(1))
 
-        def visit(node: Node, history: list[np.ndarray], chars: list[str], alive: np.ndarray) -> None:
-            state = history[-1]
-            if node.jumps:
+        full = ones(length + 1)
+        # levels above a query's own distance stay empty
+        may = np.where((np.arange(errors + 1)[:, None] <= most[None, :])[:, None, :], full[None], np.uint64(0))
+        start = np.stack([ones(np.full(len(qs), j + 1)) for j in range(errors + 1)]) & may
+        last_word, last_bit = length // 64, (length % 64).astype(np.uint64)
+
+        Jumps = list[tuple[Node, np.ndarray]]
+        stack: list[tuple[Node, np.ndarray, np.ndarray | None, str, np.ndarray, Jumps]] = [(self.root, start, None, "", np.arange(len(qs)), [])]
+        while stack:
+            node, state, before, char, alive, jumps = stack.pop()
+            here = [s for n, s in jumps if n is node]
+            if here:
                 state = state.copy()
-                for back in node.jumps:
-                    if back < len(history):
-                        state[1:] |= history[-1 - back][:-1]
-                state &= may[:, alive]
-                history = [*history[:-1], state]
+                for s in here:
+                    state[1:] |= s[:-1]
+                state &= may[:, :, alive]
             if node.entries:
-                done = ((state >> length[alive][None, :]) & one).astype(bool)
+                done = ((state[:, last_word[alive], np.arange(len(alive))] >> last_bit[alive]) & np.uint64(1)).astype(bool)
                 for k in np.flatnonzero(done.any(axis=0)):
                     e = int(done[:, k].argmax())
-                    if e > allowed(max(int(length[alive[k]]), node.letters)):
-                        continue
-                    found = out[index[alive[k]]]
-                    for entry in node.entries:
-                        if e < found.get(entry, 99):
-                            found[entry] = e
+                    if e <= allowed(max(int(length[alive[k]]), node.letters)):
+                        found = out[index[alive[k]]]
+                        for entry in node.entries:
+                            if e < found.get(entry, 99):
+                                found[entry] = e
+            jumps = [x for x in jumps if x[0] is not node] + [(n, state) for n in node.cuts]
             for c, child in node.children.items():
-                m = masks[c][alive] if c in masks else np.zeros(len(alive), np.uint64)
-                nxt = np.empty_like(state)
-                nxt[0] = (state[0] & m) << one
-                swap = (m & (masks[chars[-1]][alive] >> one)) if chars and chars[-1] in masks else None
+                m = masks[c][:, alive]
+                nxt = _up(state & m)
+                nxt[1:] |= state[:-1] | _up(state[:-1])
+                if before is not None and char in masks:
+                    nxt[1:] |= _up(_up(before[:-1] & m & _down(masks[char][:, alive])))
                 for j in range(1, errors + 1):
-                    x = ((state[j] & m) << one) | state[j - 1] | (state[j - 1] << one) | (nxt[j - 1] << one)
-                    if swap is not None and len(history) > 1:
-                        x |= (history[-2][j - 1] & swap) << two
-                    nxt[j] = x
-                nxt &= may[:, alive]
-                some = nxt.any(axis=0)
-                for h in history[len(history) - child.look :] if child.look else ():
-                    some = some | h.any(axis=0)
-                if not some.any():
-                    continue
-                if some.sum() * 2 < len(alive):
-                    keep = np.flatnonzero(some)
-                    past = [h[:, keep] for h in history[-MAX_BACK:]]
-                    visit(child, [*past, nxt[:, keep]], [*chars, c], alive[keep])
-                else:
-                    visit(child, [*history, nxt], [*chars, c], alive)
-
-        visit(self.root, [start], [], np.arange(len(qs)))
-        return out
-
-    def align(self, words: list[str], least: int = 0) -> dict[int, int]:
-        """The entries with a name of `least` letters or more within the distance of the words in any order:
-        {entry: errors}."""
+                    nxt[j] |= _up(nxt[j - 1])
+                nxt &= may[:, :, alive]
+                below = [x for x in jumps if child.first <= x[0].first <= child.last]
+                self._descend(stack, child, nxt, state, c, alive, below)
+
+    @staticmethod
+    def _descend(stack: list, child: Node, state: np.ndarray, before: np.ndarray | None, char: str, alive: np.ndarray, jumps: list) -> None:
+        """Go on at `child` with the automata that are alive there; those that only a jump reaches go on
+        where it ends."""
+        some = state.any(axis=(0, 1))
+        if some.any():
+            for _, s in jumps:
+                some = some | s.any(axis=(0, 1))
+            if some.sum() * 2 < len(alive):
+                keep = np.flatnonzero(some)
+                jumps = [(n, s[:, :, keep]) for n, s in jumps]
+                stack.append((child, state[:, :, keep], before[:, :, keep], char, alive[keep], jumps))
+            else:
+                stack.append((child, state, before, char, alive, jumps))
+            return
+        rest = sorted(jumps, key=lambda x: x[0].letters)
+        while rest:
+            to = rest[0][0]
+            under = [x for x in rest if to.first <= x[0].first <= to.last]
+            rest = [x for x in rest if not to.first <= x[0].first <= to.last]
+            some = np.any([s.any(axis=(0, 1)) for _, s in under], axis=0)
+            if some.any():
+                keep = np.flatnonzero(some)
+                under = [(n, s[:, :, keep]) for n, s in under]
+                stack.append((to, np.zeros_like(under[0][1]), None, "", alive[keep], under))
+
+    def align(self, words: list[str]) -> dict[int, int]:
+        """The entries with a name within the distance of the words in any order: {entry: errors}."""
         found: dict[int, int] = {}
         size = sum(map(len, words))
         # a letter of the value that the name lacks is an error in every order
-        lacking = np.maximum(_letter_counts("".join(words))[None, :] - self.letters, 0).sum(axis=1)
-        for k in np.flatnonzero((lacking <= allowed(size + 2)) & (self.sizes >= least)):
+        lacking = np.maximum(_letter_counts("".join(words), self.place)[None, :] - self.letters, 0).sum(axis=1)
+        for k in np.flatnonzero(lacking <= allowed(size + 2)):
             entry, path = self.paths[k]
             most = min(allowed(size + 2), allowed(max(size, int(self.sizes[k]))))
             # a small limit leaves few states, so that the limits are tried in turn
@@ -255,47 +317,41 @@ class Matcher:
 
     def match(self, values: list[str]) -> list[list[tuple[int, int]]]:
         """Per value the (entry, errors) pairs within its distance, closest first, ties by entry."""
-        typed, ordered = [], []
-        for v in values:
-            w = words_of(v)
-            typed.append("".join(w))
-            s = "".join(sorted(w))
-            ordered.append(s if s != typed[-1] else "")
-        a, b = self.search(typed), self.search(ordered)
-        for x, y in zip(a, b, strict=True):
+        words = [words_of(v) for v in values]
+        typed = ["".join(w) for w in words]
+        ordered = ["".join(sorted(w)) for w in words]
+        a = self.search(typed)
+        for x, y in zip(a, self.search([s if s != t else "" for s, t in zip(ordered, typed, strict=True)]), strict=True):
             for entry, e in y.items():
                 x[entry] = min(e, x.get(entry, 99))
-        # what the automaton left out: long names, and all names for long values
-        least = [0 if len(q) > MAX_LETTERS else MAX_LETTERS + 1 for q in typed]
-        longest = self.sizes.max(initial=0)
-        for i, q in enumerate(typed):
-            for text in {q, ordered[i]} - {""} if longest >= least[i] else ():
-                for entry, e in self.align([text], least[i]).items():
-                    a[i][entry] = min(e, a[i].get(entry, 99))
         # an error in a first letter also changes the alphabetical order: try every order of few words
-        rest = [(i, "".join(p)) for i, v in enumerate(values) if not a[i] and 2 <= len(w := words_of(v)) <= 4 for p in permutations(w)]
+        rest = [(i, "".join(p)) for i, w in enumerate(words) if not a[i] and 2 <= len(w) <= 4 for p in permutations(w)]
         for (i, _), y in zip(rest, self.search([q for _, q in rest]), strict=True):
             for entry, e in y.items():
                 a[i][entry] = min(e, a[i].get(entry, 99))
         # longer values have too many orders for that
-        for i, v in enumerate(values):
-            if not a[i] and len(w := words_of(v)) > 1 and (len(w) > 4 or longest >= least[i]):
-                a[i].update(self.align(w, 0 if len(w) > 4 else least[i]))
+        for i, w in enumerate(words):
+            if not a[i] and len(w) > 4:
+                a[i].update(self.align(w))
         return [sorted(x.items(), key=lambda t: (t[1], t[0])) for x in a]
 
 
-MAX_BACK = MAX_LETTERS
+_MATCHERS: dict[str, tuple[Matcher, dict]] = {}
+
+
+def _matcher(key: str, names: list[tuple[int, str]]) -> tuple[Matcher, dict]:
+    """The trie of a reference list and the values matched with it so far, once per worker process."""
+    if key not in _MATCHERS:
+        _MATCHERS.clear()
+        _MATCHERS[key] = Matcher(names), {}
+    return _MATCHERS[key]
 
 
 def _is_blank(c: Column) -> Column:
     return F.length(F.regexp_replace(c, r"[\s\p{Z}\x0b\x1c-\x1f\x{85}\x{200b}\x{feff}]+", "")) == 0
 
 
-def reference_names(entries: DataFrame, id_col: str, name_cols: list[str], list_cols: list[str]) -> list[tuple[int, str]]:
-    """The names of a reference list, on the driver; more than MAX_ENTRIES rows are an error."""
-    rows = entries.select(id_col, *name_cols, *list_cols).limit(MAX_ENTRIES + 1).collect()
-    if len(rows) > MAX_ENTRIES:
-        raise ValueError(f"the reference list has more than {MAX_ENTRIES} entries")
+def _names(rows: list, id_col: str, name_cols: list[str], list_cols: list[str]) -> list[tuple[int, str]]:
     out = []
     for r in rows:
         for c in name_cols:
@@ -305,24 +361,55 @@ def reference_names(entries: DataFrame, id_col: str, name_cols: list[str], list_
     return sorted(set(out))
 
 
+def reference_blocks(entries: DataFrame, id_col: str, name_cols: list[str], list_cols: list[str], size: int = MAX_ENTRIES) -> Iterator[list[tuple[int, str]]]:
+    """The names of a reference list as (id, name), in blocks of about `size` entries by a hash of the id; a block
+    is all that the driver and the workers hold at once. Entries without an id and null or empty names are left out."""
+    cols = entries.select(id_col, *name_cols, *list_cols).where(F.col(id_col).isNotNull())
+    blocks = -(-cols.count() // size)
+    for b in range(blocks):
+        part = cols if blocks == 1 else cols.where(F.pmod(F.xxhash64(id_col), F.lit(blocks)) == b)
+        yield _names(part.collect(), id_col, name_cols, list_cols)
+
+
 def map_values(df: DataFrame, value_col: str, names: list[tuple[int, str]], keep: list[str]) -> DataFrame:
     """`keep` columns and matches array<struct<entry,errors>> of each row of `df`; empty where the
     value means no entry, and for null and blank values. A narrow map: repeated values are
-    matched once per batch and remembered per worker, and no value is ever shuffled."""
+    matched once per worker and remembered, and no value is ever shuffled."""
     src = df.select(*keep, F.col(value_col).alias("__value"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
+    key = hashlib.sha256(repr(names).encode()).hexdigest()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matcher, memo = Matcher(names), {}
+        matcher, memo = _matcher(key, names)
         for b in batches:
-            todo = [v for v in b["__value"].unique() if v is not None and v not in memo]
+            values = [v for v in b["__value"].unique() if v is not None]
+            todo = [v for v in values if v not in memo]
             if len(memo) + len(todo) > MEMO:
-                memo = {}
-                todo = [v for v in b["__value"].unique() if v is not None]
-            for at in range(0, len(todo), 4096):
-                part = todo[at : at + 4096]
+                memo.clear()
+                todo = values
+            for at in range(0, len(todo), BATCH):
+                part = todo[at : at + BATCH]
                 memo.update(zip(part, matcher.match(part), strict=True))
             got = [[{"entry": e, "errors": n} for e, n in memo.get(v, ())] for v in b["__value"]]
             yield b[keep].assign(matches=got)
 
     return src.mapInPandas(run, schema + ", matches array<struct<entry:int,errors:int>>")
+
+
+def map_to_list(
+    df: DataFrame, value_col: str, entries: DataFrame, id_col: str, name_cols: list[str], list_cols: list[str], keep: list[str], size: int = MAX_ENTRIES
+) -> DataFrame:
+    """`map_values` against the entries of a table. A list of more than `size` entries is searched in blocks: the
+    different values are matched with every block in turn and meet their rows in one join. An empty list matches
+    nothing."""
+    blocks = reference_blocks(entries, id_col, name_cols, list_cols, size)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        return map_values(df, value_col, first, keep)
+    values = materialize(df.select(F.col(value_col).alias("__typed")).where("__typed is not null").distinct(), "values")
+    parts = [materialize(map_values(values, "__typed", b, ["__typed"]).where("size(matches) > 0"), "matches") for b in chain([first, second], blocks)]
+    found = reduce(DataFrame.unionByName, parts).select("__typed", F.explode("matches").alias("m"))
+    found = found.groupBy("__typed").agg(F.array_sort(F.collect_list(F.struct("m.errors", "m.entry"))).alias("l"))
+    found = found.select("__typed", F.transform("l", lambda x: F.struct(x["entry"].alias("entry"), x["errors"].alias("errors"))).alias("matches"))
+    out = df.select(*keep, F.col(value_col).alias("__typed")).join(found, "__typed", "left")
+    return out.select(*keep, F.coalesce("matches", F.array().cast(found.schema["matches"].dataType)).alias("matches"))

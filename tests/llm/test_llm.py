@@ -112,12 +112,13 @@ def test_values_are_mapped():
     best = lambda v: (m.match([v])[0] or [(0, 0)])[0][0]
     for v, e in (
         ("b) Eltgibility", 1), ("join, can, who", 1), ("\nDENTAL__CARE (cont.)", 2), ("Appea.", 3), ("apepals", 3), ("HANDL. OF PERSO FILES", 4), ("IV - disability-income pt 1", 4),
-        ("song lyrics", 0), ("xx-xx", 0), ("page 94", 0), ("", 0), ("é" * 500, 0),
+        ("song lyrics", 0), ("xx-xx", 0), ("page 94", 0), ("", 0), ("é" * 500, 0), ("12", 0),
     ):
         assert best(v) == e, v
 
 
-def test_automaton_equals_edit_distance():
+@pytest.mark.parametrize("letters, size", [("abc", 7), ("мос", 7), ("東京都", 7), ("abcdefgh", 100), ("мосąе", 140)])
+def test_automaton_equals_edit_distance(letters, size):
     def osa(a, b):
         d = [[i + j if i * j == 0 else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
         for i in range(1, len(a) + 1):
@@ -125,17 +126,51 @@ def test_automaton_equals_edit_distance():
                 d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
                 if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
                     d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
-        return d[-1][-1]
+        return d[-1]
+
+    def with_cuts(q, name):
+        """A name may be cut at its end, to half of its letters and three, for one error."""
+        least, row = max(3, -(-len(name) // 2)), osa(q, name)
+        return min([row[-1], *(x + 1 for x in row[least:-1])])
 
     rng = random.Random(3)
-    names = ["".join(rng.choice("abc") for _ in range(rng.randint(3, 7))) for _ in range(12)]
+    names = list({"".join(rng.choice(letters) for _ in range(rng.randint(3, size))) for _ in range(12)})
     m = V.Matcher(list(enumerate(names)))
-    qs = ["".join(rng.choice("abcd") for _ in range(rng.randint(1, 8))) for _ in range(300)]
+    names = ["".join(V.words_of(n)) for n in names]
+
+    def typed():
+        if rng.random() < 0.3 or size > 20:
+            q = list(rng.choice(names))
+            for _ in range(rng.randint(0, 6)):
+                q[rng.randrange(len(q))] = rng.choice(["", "x", *letters])
+            return "".join(q)[: rng.choice([size, 999])]
+        return "".join(rng.choice([*letters, "d"]) for _ in range(rng.randint(1, size + 1)))
+
+    qs = [typed() for _ in range(300 if size < 20 else 60)]
+    hits = 0
     for q, got in zip(qs, m.search(qs), strict=True):
-        for i, n in enumerate(names):
-            e = osa(q, n)
-            if e <= V.allowed(max(len(q), len(n))) and e <= V.allowed(len(q) + 2):
-                assert got[i] <= e  # a jump over the rest of a word may be shorter still
+        want = {i: e for i, n in enumerate(names) if (e := with_cuts(q, n)) <= V.allowed(max(len(q), len(n))) and e <= V.allowed(len(q) + 2)}
+        assert got == (want if q else {}), q
+        hits += len(want)
+    assert hits > 20
+
+
+def test_values_of_any_script_and_length():
+    names = [(1, "Москва"), (2, "東京都庁"), (3, "हिन्दी भाषा"), (4, "x" * 70), (5, "Łódź"), (6, "القاهرة")]
+    m = V.Matcher(names)
+    for entry, name in names:
+        assert m.match([name])[0] == [(entry, 0)]
+    assert m.match(["Моска", "МОСКВА (cont.)", "東都庁", "भाषा हिन्दी", "x" * 68, "हिनदी भाषा", "Лондон"]) == [[(1, 1)], [(1, 0)], [(2, 1)], [(3, 0)], [(4, 1)], [(3, 1)], []]
+
+
+def test_long_reference_lists_are_searched_in_blocks(spark):
+    entries = spark.createDataFrame([(i, f"name {chr(97 + i)}{chr(98 + i)}{chr(99 + i)}xyz", None) for i in range(20)] + [(None, "lost", [])], "id int, n string, o array<string>")
+    d = spark.createDataFrame([(1, "name abcxyz"), (2, "NAME bcdxy"), (3, None), (4, "unknown"), (5, "name abcxyz")], "k int, v string")
+    whole = V.map_to_list(d, "v", entries, "id", ["n"], ["o"], ["k"])
+    parts = V.map_to_list(d, "v", entries, "id", ["n"], ["o"], ["k"], size=6)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, parts.collect()))
+    assert {r.k: len(r.matches) > 0 for r in parts.collect()} == {1: True, 2: True, 3: False, 4: False, 5: True}
+    assert all(r.matches == [] for r in V.map_to_list(d, "v", entries.limit(0), "id", ["n"], ["o"], ["k"]).collect())
 
 
 def test_longer_values_match_in_every_order():
