@@ -39,14 +39,14 @@ f AS (SELECT source_file, key, count(DISTINCT chunk_id) AS n FROM k WHERE key <>
 o AS (SELECT k.chunk_id, k.source_file, k.line_no, k.key, row_number() OVER (PARTITION BY k.chunk_id ORDER BY k.line_no) AS r
       FROM k JOIN f USING (source_file, key))
 """
+# every part of every document's frequent lines; the documents of one part are counted per source
 _SEQ = _LINES + """,
-p AS (SELECT a.source_file, 2 AS length, a.key || '|' || b.key AS pat, a.chunk_id FROM o a JOIN o b ON b.chunk_id = a.chunk_id AND b.r = a.r + 1
-      UNION ALL
-      SELECT a.source_file, 3, a.key || '|' || b.key || '|' || c.key, a.chunk_id FROM o a JOIN o b ON b.chunk_id = a.chunk_id AND b.r = a.r + 1
-      JOIN o c ON c.chunk_id = a.chunk_id AND c.r = a.r + 2
-      UNION ALL SELECT source_file, 1, key, chunk_id FROM o),
+q AS (SELECT chunk_id, source_file, list(key ORDER BY r) AS keys FROM o GROUP BY ALL),
+b AS (SELECT chunk_id, source_file, keys, unnest(range(1, len(keys) + 1)) AS lo FROM q),
+e AS (SELECT chunk_id, source_file, keys, lo, unnest(range(lo, len(keys) + 1)) AS hi FROM b),
+p AS (SELECT chunk_id, source_file, hi - lo + 1 AS length, md5(array_to_string(keys[lo:hi], '|')) AS pat FROM e),
 n AS (SELECT length, source_file, pat, count(DISTINCT chunk_id) AS docs FROM p GROUP BY ALL HAVING count(DISTINCT chunk_id) >= 8)
-SELECT length, count(*) AS sequences, max(docs) AS most_docs FROM n GROUP BY length
+SELECT CAST(length AS INTEGER) AS length, count(*) AS sequences, max(docs) AS most_docs FROM n GROUP BY length
 """
 _OWN = _LINES + """,
 g AS (SELECT chunk_id, list(line_no) AS gone FROM o GROUP BY chunk_id)

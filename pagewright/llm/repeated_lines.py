@@ -2,25 +2,27 @@
 
 A document is the sequence of its line identifiers (the letters of the line, one case, hashed
 together with the source). Frequent sequences are mined by PrefixSpan over all sources at once:
-frequent single lines first, then every frequent prefix grows by the line that follows each of its
-occurrences (prefix projection), as long as enough different documents of the source hold the
-result. The grown line must directly follow within the document's frequent lines-with-letters, which
-keeps the number of patterns below the number of occurrences. Every level is one projection joined
-with the frequent extensions; hot lines meet theirs by a bounded broadcast.
+frequent single lines first; the documents are projected on them; then every frequent prefix grows by
+the line that follows its occurrences there, as long as enough different documents of the source hold the
+result. Own lines between repeated ones are skipped that way, repeated ones are not: each part of a
+frequent sequence is frequent itself, so skipping them would list exponentially many patterns and cover
+no further line. Every level is one written table of (document, position, pattern) rows: no level's plan holds
+the levels before it, and mining ends with the first level without a frequent pattern. Hot lines meet
+their support by a bounded broadcast.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.operators.skew import FLOOR, MAX_HOT
 from pagewright.session import materialize
 
 MIN_DOCS = 8
-MAX_LENGTH = 3
 
 
 def line_key(source: Column, line: Column) -> Column:
@@ -61,14 +63,13 @@ def frequent_sequences(
     source_col: str = "source_file",
     text_col: str = "text",
     min_docs: int = MIN_DOCS,
-    max_length: int = MAX_LENGTH,
     floor: int = FLOOR,
     max_hot: int = MAX_HOT,
 ) -> tuple[DataFrame, DataFrame]:
     """Returns
 
-    - occurrences (id, line_no, length): the lines covered by an occurrence of a frequent sequence
-      and the longest such sequence; rows delivered again (same id) count once,
+    - occurrences (id, line_no, length): the lines covered by an occurrence of a frequent sequence and
+      the length of the longest such sequence that begins there; rows delivered again (same id) count once,
     - sequences (key, length, docs): the frequent sequences with the number of their documents.
 
     Null ids, sources and texts take no part; empty texts have no lines; a source with fewer than
@@ -78,28 +79,23 @@ def frequent_sequences(
     lines = materialize(lines_of(docs, id_col, source_col, text_col), "lines")
     support = materialize(_support(lines, "key", min_docs), "line-support")
     level = _keep_frequent(lines, support, "key", floor, max_hot).groupBy("id", "line_no").agg(F.first("key").alias("key"))
-    level = materialize(level, "frequent-lines")
-    found = [level.select("id", "line_no", F.lit(1).alias("length"))]
-    sequences = [support.select("key", F.lit(1).alias("length"), "docs")]
-    # the database of PrefixSpan: per document its frequent lines in order
-    base = level.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("line_no", "key"))).alias("seq"))
-    base = base.where(F.size("seq") > 1)
-    grown = base.select("id", F.posexplode("seq").alias("at", "e"), "seq").select(
-        "id", F.col("e.key").alias("prefix"), F.array(F.col("e.line_no")).alias("span"), F.expr("slice(seq, at + 2, %d)" % (max_length - 1)).alias("rest")
-    )
-    for length in range(2, max_length + 1):
-        grown = grown.where(F.size("rest") > 0).select(
-            "id",
-            F.unhex(F.md5(F.concat("prefix", F.col("rest")[0]["key"]))).alias("prefix"),
-            F.array_append("span", F.col("rest")[0]["line_no"]).alias("span"),
-            F.expr("slice(rest, 2, size(rest))").alias("rest"),
-        )
-        grown = materialize(grown, f"level-{length}") if length == 2 else grown
-        frequent = _support(grown, "prefix", min_docs)
-        grown = _keep_frequent(grown, frequent, "prefix", floor, max_hot)
-        found.append(grown.select("id", F.explode("span").alias("line_no"), F.lit(length).alias("length")))
-        sequences.append(frequent.select(F.col("prefix").alias("key"), F.lit(length).alias("length"), "docs"))
-    occurrences = reduce(DataFrame.unionByName, found).groupBy("id", "line_no").agg(F.max("length").alias("length"))
+    in_order = Window.partitionBy("id").orderBy("line_no")
+    level = materialize(level.withColumn("at", F.row_number().over(in_order)), "level-1")
+    starts, sequences = [level.select("id", "line_no", F.lit(1).alias("length"))], [support.select("key", F.lit(1).alias("length"), "docs")]
+    follows = Window.partitionBy("id").orderBy("at")
+    for length in count(2):
+        # two overlapping frequent sequences of the level before: prefix and suffix of the grown one
+        grown = level.select(
+            "id", "line_no", "at", F.when(F.lead("at").over(follows) == F.col("at") + 1, F.concat("key", F.lead("key").over(follows))).alias("pair")
+        ).where("pair is not null")
+        grown = materialize(grown.select("id", "line_no", "at", F.unhex(F.md5("pair")).alias("key")), f"grown-{length}")
+        support = materialize(_support(grown, "key", min_docs), f"support-{length}")
+        if support.isEmpty():
+            break
+        level = materialize(_keep_frequent(grown, support, "key", floor, max_hot), f"level-{length}")
+        starts.append(level.select("id", "line_no", F.lit(length).alias("length")))
+        sequences.append(support.select("key", F.lit(length).alias("length"), "docs"))
+    occurrences = reduce(DataFrame.unionByName, starts).groupBy("id", "line_no").agg(F.max("length").alias("length"))
     return occurrences, reduce(DataFrame.unionByName, sequences)
 
 

@@ -73,6 +73,44 @@ def test_repeated_lines_against_brute_force(spark, floor):
         assert own[i] == (None if t is None else "\n".join(x for n, x in enumerate(t.split("\n"), 1) if (i, n) not in want))
 
 
+def test_sequences_of_any_length(spark):
+    """All sequences of consecutive frequent lines, planted ones of seven lines and repeated lines included, with the
+    longest that begins at each line."""
+    rng = random.Random(2)
+    notice = [f"notice {w}" for w in ("one", "two", "three", "four", "five", "six", "seven")]
+    rows = []
+    for i in range(40):
+        own = [f"own {chr(97 + i % 26)} {chr(97 + rng.randrange(26))}" for _ in range(3)]
+        body = rng.choice([notice, notice[:4], notice[2:], notice[::-1], ["notice one"] * 3, []])
+        # own lines may stand between repeated ones
+        body = [x for y in body for x in ([y, rng.choice(own)] if rng.random() < 0.3 else [y])]
+        rows.append((i, f"s{i % 2}", "\n".join([own[0], *body, own[1], "", *body[:2]])))
+    d = spark.createDataFrame([*rows, rows[0], (99, None, "x")], "chunk_id int, source_file string, text string")
+    key = lambda x: re.sub(r"\W", "", x)
+    docs_of = {}
+    for i, s, t in rows:
+        for line in t.split("\n"):
+            if key(line):
+                docs_of.setdefault((s, key(line)), set()).add(i)
+    seqs, kept = {}, {}
+    for i, s, t in rows:
+        kept[i] = [(n, key(x)) for n, x in enumerate(t.split("\n"), 1) if key(x) and len(docs_of[s, key(x)]) >= 4]
+        for a in range(len(kept[i])):
+            for b in range(a + 1, len(kept[i]) + 1):
+                seqs.setdefault((s, tuple(k for _, k in kept[i][a:b])), set()).add(i)
+    frequent = {q: ids for q, ids in seqs.items() if len(ids) >= 4}
+    assert max(len(q) for _, q in frequent) >= 7
+    occ, seq = L.frequent_sequences(d, min_docs=4)
+    assert sorted((r.length, r.docs) for r in seq.collect()) == sorted((len(q), len(ids)) for (_, q), ids in frequent.items())
+    want = set()
+    for i, s, _ in rows:
+        for a, (n, _) in enumerate(kept[i]):
+            want.add((i, n, max(b - a for b in range(a + 1, len(kept[i]) + 1) if (s, tuple(k for _, k in kept[i][a:b])) in frequent)))
+    assert {(r.id, r.line_no, r.length) for r in occ.collect()} == want
+    occ, seq = L.frequent_sequences(d.limit(0))
+    assert occ.count() == seq.count() == 0
+
+
 # 4
 
 
