@@ -2,7 +2,8 @@
 
 Texts travel as Arrow buffers; a worker loads a vocabulary once. Long texts are cut before
 encoding at places where the vocabulary's pre-tokenizing pattern always ends a piece, so that the
-ids of the parts are the ids of the whole and no call grows with the text. Decoding concatenates
+ids of the parts are the ids of the whole; a part is longer than a segment only where a single piece is (a run of
+letters without any sign or white space). Decoding concatenates
 the raw bytes of the ids; a text cut inside a character stays decodable as bytes.
 
 Defined results: null and empty texts give the empty list (size 0); blank texts have the ids of
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_DIR = "/opt/tokenizers"
@@ -28,8 +30,13 @@ LONG = 20_000
 SEGMENT = 50_000
 _SPACE = r"[ \t\n\r\x0b\x0c\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _LONG_SPACE = re.compile(_SPACE + "{5000,}")
-#: A piece always ends between these: a sign and white space, a letter and a digit, either and a sign.
-_SAFE = re.compile(r"(?<=[!-~])(?=[ \n])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z0-9])(?=[!-&(-/:-@\[-`{-~])")
+#: A piece always ends before white space, between letters and digits, before another sign, and behind one (but for
+#: the apostrophe, which may begin a piece with the letters behind it). The separators 1C to 1F count as white
+#: space in some libraries only and are no place to cut.
+_SAFE = regex.compile(
+    rf"(?<=[^\x1c-\x1f{_SPACE[1:-1]}])(?={_SPACE})|(?<=\p{{L}})(?=\p{{N}})|(?<=\p{{N}})(?=\p{{L}})|"
+    rf"(?<=[\p{{L}}\p{{N}}])(?=[^\p{{L}}\p{{N}}\x1c-\x1f{_SPACE[1:-1]}])|(?<=[^'\p{{L}}\p{{N}}\x1c-\x1f{_SPACE[1:-1]}])(?=[\p{{L}}\p{{N}}])"
+)
 _LOADED: dict[str, object] = {}
 
 

@@ -305,6 +305,23 @@ def test_segments_keep_the_ids():
         assert ids == enc.encode_ordinary(t)
 
 
+def test_segments_of_every_script():
+    enc = K.load(f"{K.DEFAULT_DIR}/byte_bpe_50k.tiktoken")
+    rng = random.Random(3)
+    ranges = [(0x20, 0x7F), (0xA0, 0x250), (0x300, 0x340), (0x370, 0x530), (0x5D0, 0x700), (0x900, 0x980), (0x2000, 0x2070), (0x3000, 0x3100), (0x4E00, 0x4F00), (0xAC00, 0xAD00), (0xFF00, 0xFFF0), (0x1F600, 0x1F650)]
+    for _ in range(1500):
+        t = "".join(chr(rng.randrange(*rng.choice(ranges))) if rng.random() < 0.8 else rng.choice(" '\n") for _ in range(rng.randint(0, 40)))
+        ids = []
+        for part, whole in K.segments(t, rng.choice([1, 2, 5])):
+            ids += list(enc._core_bpe.encode_single_piece(part.encode())) if whole else enc.encode_ordinary(part)
+        assert ids == enc.encode_ordinary(t), t
+    for sentence in ("これは長い文章です。東京都の会議は、3時に始まります。", "Это очень длинный текст о плане. ", "هذا نص طويل جدا عن الخطة. ", "यह एक लंबा पाठ है। ", "긴 글입니다. "):
+        t = sentence * (1_000_000 // len(sentence.encode()))
+        parts = [len(p) for p, _ in K.segments(t)]
+        assert max(parts) < K.SEGMENT + 100 and sum(parts) == len(t)
+        assert K.encode_ids(enc, t).tolist() == enc.encode_ordinary(t)
+
+
 # 8
 
 
