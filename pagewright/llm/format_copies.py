@@ -19,7 +19,8 @@ SALTS = 64
 
 def canonical_text(c: Column) -> Column:
     """Letters and digits only, without letter case: the sharp s equals its capital form SS, the final
-    sigma the other one."""
+    sigma the other one. Combining marks are neither: "é" in one code point is a letter, the accent of a decomposed
+    one is ignored, as are vowel signs."""
     return F.replace(F.replace(F.lower(F.regexp_replace(c, r"[^\p{L}\p{N}]+", "")), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
 
 

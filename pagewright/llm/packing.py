@@ -64,7 +64,9 @@ def pack(sizes: DataFrame, id_col: str = "doc_id", size_col: str = "n_tokens", c
     src = sizes.select(F.col(id_col).alias("id"), F.greatest(F.coalesce(F.col(size_col).cast("bigint"), F.lit(0)), F.lit(0)).alias("n"))
     shards = max(1, math.ceil(src.count() / items_per_shard))
     kind = src.schema["id"].dataType.simpleString()
-    src = src.withColumn("shard", F.pmod(F.xxhash64("id", "n"), F.lit(shards)))
+    # rows without an id are told apart by their place
+    place = F.when(F.col("id").isNull(), F.monotonically_increasing_id())
+    src = src.withColumn("shard", F.pmod(F.xxhash64("id", "n", place), F.lit(shards)))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["n", "id"], ascending=[False, True], kind="stable")

@@ -38,5 +38,25 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_containers": p8_containers, "p8_fill": p8_fill}
-SQL = {"p7_round_trip": "SELECT doc_id, true AS same FROM documents"}
+def p8_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the containers: every token placed once, none over capacity, at most 1 % more (and four
+    per shard) than the least possible number, each document there."""
+    sizes = materialize(token_sizes(table(spark, sf_dir, "documents")), "sizes")
+    packed = materialize(pack(sizes), "packed")
+    per = packed.where("container is not null").groupBy("shard", "container").agg(F.sum("n_tokens").alias("n"))
+    use = per.agg(F.count(F.lit(1)).alias("boxes"), F.coalesce(F.max("n"), F.lit(0)).alias("fullest"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    want = sizes.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens"))
+    docs = packed.agg(F.countDistinct("doc_id").alias("documents"), F.countDistinct("shard").alias("shards"))
+    return docs.crossJoin(use).crossJoin(want).select(
+        "documents",
+        (F.col("fullest") <= CAPACITY).alias("within_capacity"),
+        (F.col("n") == F.col("tokens")).alias("all_placed"),
+        (F.col("boxes") <= F.ceil(F.col("tokens") / CAPACITY) * 1.01 + 4 * F.col("shards")).alias("near_least"),
+    )
+
+
+QUERIES = {"p8_check": p8_check, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_containers": p8_containers, "p8_fill": p8_fill}
+SQL = {
+    "p7_round_trip": "SELECT doc_id, true AS same FROM documents",
+    "p8_check": "SELECT count(*) AS documents, true AS within_capacity, true AS all_placed, true AS near_least FROM documents",
+}

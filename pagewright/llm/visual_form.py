@@ -22,9 +22,10 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 
 #: Letters of other scripts that look like the Latin letters below them (fixed values).
-GREEK = ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧνο", "ABEZHIKMNOPTYXvo")
-CYRILLIC = ("АВЕЅІЈКМНОРСТХаеорсухѕіјһԁԛԝ", "ABESIJKMHOPCTXaeopcyxsijhdqw")
+GREEK = ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧνοϲϳ", "ABEZHIKMNOPTYXvocj")
+CYRILLIC = ("АВЕЅІЈКМНОРСТХаеорсухѕіјһԁԛԝԚԜ", "ABESIJKMHOPCTXaeopcyxsijhdqwQW")
 ARMENIAN = ("Օօսոհ", "Oounh")
+CHEROKEE = ("ᎪᏴᏟᎠᎬᏀᎻᎫᏦᏞᎷᏢᏚᎢᏙᏔᏃ", "ABCDEGHJKLMPSTVWZ")
 #: Hyphens that look like U+002D, and signs that can't be seen.
 HYPHENS = (0x2010, 0x2011)
 INVISIBLE = (0x00AD, 0x034F, 0x061C, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2065), *range(0x2066, 0x2070), *range(0xFE00, 0xFE10), 0xFEFF)
@@ -36,7 +37,7 @@ class Tables:
     """Lookup tables, built once per process from the Unicode data of Python."""
 
     def __init__(self) -> None:
-        like = {ord(a): b for x, y in (GREEK, CYRILLIC, ARMENIAN) for a, b in zip(x, y, strict=True)}
+        like = {ord(a): b for x, y in (GREEK, CYRILLIC, ARMENIAN, CHEROKEE) for a, b in zip(x, y, strict=True)}
         like |= dict.fromkeys(HYPHENS, "-") | dict.fromkeys(INVISIBLE, "")
         special: dict[int, str] = {}
 

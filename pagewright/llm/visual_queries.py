@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.llm.visual_form import normal_form
-from pagewright.operators.skew import hot_keys, join_small_side
+from pagewright.operators.skew import FLOOR, hot_keys, join_small_side
 from pagewright.session import materialize, table
 
 
+SALTS = 32
+
+
 def _hash(*parts: Column) -> Column:
     return F.unhex(F.md5(F.concat_ws("\x01", *parts).cast("binary")))
 
@@ -25,10 +28,10 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.unionByName(chunks).where("id is not null and scope is not null and text is not null")
 
 
-def same_looking_pairs(records: DataFrame) -> DataFrame:
+def same_looking_pairs(records: DataFrame, floor: int = FLOOR) -> DataFrame:
     """(rec_kind, id_a, id_b): all pairs of records of one kind and scope whose texts differ but
     have the same normal form; id_a < id_b. Blank texts take no part; a record delivered again (same
-    id and text) counts once.
+    id and text) counts once, of an id with several texts each takes part.
 
     Only hashes are shuffled. Groups of one single spelling, however large, are dropped by a
     combining aggregate before any pair is made.
@@ -43,11 +46,13 @@ def same_looking_pairs(records: DataFrame) -> DataFrame:
     formed = formed.where(F.length(F.trim(F.regexp_replace("form", r"\s+", " "))) > 0)
     keyed = materialize(formed.select("rec_kind", "id", _hash(F.col("rec_kind"), F.col("scope"), F.col("form")).alias("g"), "raw"), "forms")
     mixed = keyed.groupBy("g").agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).where("lo <> hi").select("g")
-    hot = hot_keys(keyed, "g")
-    members = join_small_side(keyed, mixed, "g", hot).groupBy("rec_kind", "id", "g").agg(F.min("raw").alias("raw"))
-    members = materialize(members, "variants")
-    b = members.select(F.col("g").alias("g2"), F.col("id").alias("id_b"), F.col("raw").alias("raw2"))
-    pairs = members.join(b, (F.col("g") == F.col("g2")) & (F.col("id") < F.col("id_b")) & (F.col("raw") != F.col("raw2")))
+    hot = materialize(hot_keys(keyed, "g", floor), "hot-forms")
+    members = materialize(join_small_side(keyed, mixed, "g", hot).select("rec_kind", "id", "g", "raw").distinct(), "variants")
+    # a large group's left side is dealt out to salts, each of which meets the whole group
+    salted = members.join(F.broadcast(hot.withColumn("hot", F.lit(SALTS))), "g", "left").withColumn("n", F.coalesce("hot", F.lit(1)))
+    a = salted.withColumn("salt", F.pmod(F.xxhash64("id"), "n").cast("int"))
+    b = salted.select("g", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("salt"), F.col("id").alias("id_b"), F.col("raw").alias("raw_b"))
+    pairs = a.join(b, ["g", "salt"]).where("id < id_b and raw <> raw_b")
     return pairs.select("rec_kind", F.col("id").alias("id_a"), "id_b").distinct()
 
 

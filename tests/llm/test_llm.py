@@ -37,13 +37,13 @@ def test_copies_of_records(spark):
     rows = [
         (1, '{"text":"Straße 5!","k":["A b","c"],"n":1}'), (2, ' {"n":1.0, "k":["ab","C."], "text":"STRASSE 5"} '), (3, '{"text":"Strasse 6","k":["A b","c"],"n":1}'),
         (4, '{"text":"Straße 5!","k":["A","bc"],"n":1}'), (5, ""), (6, None), (7, '{"text":"x'), (8, "[1]"), (9, '{"a":1} tail'), (10, '{"a":1}{"a":1}'), (11, '{"a":1}'),
-        (11, '{"a":1}'), (None, '{"a":1}'), (12, '{ "a" : 1 }'),
+        (11, '{"a":1}'), (None, '{"a":1}'), (12, '{ "a" : 1 }'), (13, '{"t":"caf\u00e9"}'), (14, '{"t":"cafe\u0301"}'), (15, '{"t":"Cafe"}'),
     ]
     d = spark.createDataFrame(rows, "line_id long, raw string")
     for floor in (2, 10_000):  # hot and cold paths
         groups, copies = D.collapse(D.keyed_lines(d, "line_id", "raw"), floor=floor, salts=3)
-        assert sorted(map(tuple, copies.collect())) == [(1, 2), (11, 12)]
-        assert sorted(map(tuple, groups.collect())) == [(1, 2), (3, 1), (4, 1), (11, 2)]
+        assert sorted(map(tuple, copies.collect())) == [(1, 2), (11, 12), (14, 15)]  # a mark is no letter
+        assert sorted(map(tuple, groups.collect())) == [(1, 2), (3, 1), (4, 1), (11, 2), (13, 1), (14, 2)]
     groups, copies = D.collapse(D.keyed_lines(d.limit(0), "line_id", "raw"))
     assert groups.count() == copies.count() == 0
 
@@ -272,9 +272,11 @@ def test_composition_equals_the_standard():
 
 
 def test_same_looking_pairs(spark):
-    rows = [("t", 1, "d", "Pay"), ("t", 2, "d", "Ｐay"), ("t", 3, "d", "Pay"), ("t", 2, "d", "Ｐay"), ("t", 4, "e", "P​ay"), ("t", 5, "d", "pay"), ("t", 6, "d", " "), ("t", 7, "d", " "), ("t", 8, "d", None), ("c", 9, "d", "P­ay")]
+    rows = [("t", 1, "d", "Pay"), ("t", 2, "d", "Ｐay"), ("t", 3, "d", "Pay"), ("t", 2, "d", "Ｐay"), ("t", 4, "e", "P​ay"), ("t", 5, "d", "pay"), ("t", 6, "d", " "), ("t", 7, "d", " "), ("t", 8, "d", None), ("c", 9, "d", "P­ay"), ("c", 10, "d", "ᏢᎪᎩ x"), ("c", 11, "d", "PᎪᎩ x"), ("c", 11, "d", "ᏢAᎩ x")]
     d = spark.createDataFrame(rows, "rec_kind string, id long, scope string, text string")
-    assert sorted(map(tuple, same_looking_pairs(d).collect())) == [("t", 1, 2), ("t", 2, 3)]
+    assert sorted(map(tuple, same_looking_pairs(d).collect())) == [("c", 10, 11), ("t", 1, 2), ("t", 2, 3)]
+    many = spark.createDataFrame([("t", i, "d", "Pay" if i % 3 else "Ｐay") for i in range(60)], d.schema)
+    assert {tuple(r)[1:] for r in same_looking_pairs(many, floor=10).collect()} == {(a, b) for a in range(60) for b in range(a + 1, 60) if (a % 3 == 0) != (b % 3 == 0)}
     assert same_looking_pairs(d.limit(0)).count() == 0
 
 
@@ -339,6 +341,9 @@ def test_packing(spark):
     for i, x in rows:
         assert per.loc[i, "n"] == (x or 0) and per.loc[i, "pieces"] == max(1, -(-(x or 0) // 2048))
     assert B.pack(d.limit(0)).count() == 0
+    nameless = spark.createDataFrame([(None, 700)] * 4000, "doc_id int, n_tokens int")
+    per = B.pack(nameless, items_per_shard=500).groupBy("shard").count().collect()
+    assert len(per) == 8 and max(r["count"] for r in per) < 1000
 
 
 # 9
