@@ -14,6 +14,7 @@ from pagewright.functions import text as T
 from pagewright.session import materialize
 
 DEDUP_MIN_WORDS = 25
+_RUN = 256
 
 
 def clean_raw_chunks(df: DataFrame, section_type: str = "section_type") -> DataFrame:
@@ -38,37 +39,43 @@ def dedupe_raw_chunks(df: DataFrame, keys: list[str], ord_col: str = "ord", min_
         return F.struct(i.alias("pos"), F.when(T.space_words(x) >= min_words, digest(T.dedup_key(x))).alias("k"))
 
     d = df.withColumn("__k", T.dedup_key(F.col("text"))).where("__k <> ''")
-    n = d.select(*keys, ord_col, digest(F.col("__k")).alias("c"), F.transform(T.paragraphs(F.col("text")), mark).alias("ps"))
+    n = d.select(*keys, ord_col, digest(F.col("__k")).alias("c"), F.filter(F.transform(T.paragraphs(F.col("text")), mark), lambda x: x["k"].isNotNull()).alias("ps"))
+    n = materialize(n, "digests")  # hashes only; three consumers
     n = n.groupBy(*keys, "c").agg(F.min_by(F.struct(ord_col, "ps"), ord_col).alias("f")).select(*keys, F.col("f")[ord_col].alias(ord_col), F.col("f.ps").alias("ps"))
-    p = n.select(*keys, ord_col, F.explode_outer(F.filter("ps", lambda x: x["k"].isNotNull())).alias("p")).where("p is not null").select(*keys, ord_col, "p.pos", "p.k")
+    p = n.select(*keys, ord_col, F.explode("ps").alias("p")).select(*keys, ord_col, "p.pos", "p.k")
     seen = p.groupBy(*keys, "k").agg(F.min(F.struct(ord_col, "pos")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys, "k", "f")
     again = p.join(seen, [*keys, "k"]).where(F.col("f") != F.struct(ord_col, "pos"))
     again = again.groupBy(*keys, ord_col).agg(F.collect_set("pos").alias("__gone"))
     kept = n.select(*keys, ord_col).join(again, [*keys, ord_col], "left")
     left = F.filter(T.paragraphs(F.col("text")), lambda x, i: ~F.array_contains("__gone", i))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n\n"))
-    return d.drop("__k").join(kept, [*keys, ord_col]).withColumn("text", text).drop("__gone").where(T.strip(F.col("text")) != "")
+    # only texts that lost a paragraph can be empty now
+    d = d.drop("__k").join(kept, [*keys, ord_col]).where(F.col("__gone").isNull() | (T.strip(text) != ""))
+    return d.withColumn("text", text).drop("__gone")
 
 
 def fold_starts(units: Column, groups: Column, limit: int) -> Column:
     """0-based positions at which a greedy packing of `units` starts a new piece: at the first, where
     the group changes, and where the piece's size would exceed `limit`."""
     zero = F.lit(0).cast("int")
-    start = F.struct(zero.alias("i"), zero.alias("acc"), F.lit(None).cast("int").alias("g"), F.array().cast("array<int>").alias("s"))
+    none = F.array().cast("array<int>")
+    start = F.struct(zero.alias("i"), zero.alias("acc"), F.lit(None).cast("int").alias("g"), none.alias("s"), F.array().cast("array<array<int>>").alias("d"))
     pairs = F.arrays_zip(units.alias("u"), groups.alias("g"))
 
     def step(a: Column, x: Column) -> Column:
         u = x.getField("u").cast("int")
         g = x.getField("g").cast("int")
         new = (a["i"] == 0) | (a["g"] != g) | (T.size_of_units(a["acc"] + u) > limit)
+        full = new & (F.size(a["s"]) >= _RUN)  # appending copies the list, so that it is kept in runs
         return F.struct(
             (a["i"] + 1).alias("i"),
             F.when(new, u).otherwise(a["acc"] + u).alias("acc"),
             g.alias("g"),
-            F.when(new, F.array_append(a["s"], a["i"])).otherwise(a["s"]).alias("s"),
+            F.when(full, F.array(a["i"])).when(new, F.array_append(a["s"], a["i"])).otherwise(a["s"]).alias("s"),
+            F.when(full, F.array_append(a["d"], a["s"])).otherwise(a["d"]).alias("d"),
         )
 
-    return F.aggregate(pairs, start, step, lambda a: a["s"])
+    return F.aggregate(pairs, start, step, lambda a: F.concat(F.flatten(a["d"]), a["s"]))
 
 
 def _pieces(texts: Column, starts: Column, sep: str) -> Column:
@@ -107,10 +114,11 @@ def enforce_token_limit(df: DataFrame, limit: int, text: str = "text", out: str
     return d.withColumn(out, F.when(whole, F.array(F.col(text))).otherwise(cut)).drop("__a", "__s")
 
 
-def pack_groups(df: DataFrame, keys: list[str], ord_col: str, target: int, text: str = "text") -> DataFrame:
-    """(keys, ord, grp): the greedy packing of each section's pieces up to `target`. Only order and unit
-    count of the pieces of one section meet, not their texts."""
-    n = df.select(*keys, ord_col, T.unit_count(F.col(text)).alias("u"))
+def pack_groups(df: DataFrame, keys: list[str], ord_col: str, target: int, text: str = "text", units: str | None = None) -> DataFrame:
+    """(keys, ord, grp): the greedy packing of each section's pieces up to `target`, `grp` from 0 without
+    holes. Only order and unit count of the pieces of one section meet, not their texts; `units` names a column
+    with the counts."""
+    n = df.select(*keys, ord_col, (F.col(units) if units else T.unit_count(F.col(text))).alias("u"))
     s = n.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(ord_col).alias("o"), "u"))).alias("a"))
     s = s.withColumn("s", fold_starts(F.transform("a", lambda x: x["u"]), F.transform("a", lambda x: F.lit(0)), target))
     s = s.select(*keys, "a", F.posexplode_outer(F.arrays_zip(F.col("s").alias("b"), F.concat(F.slice("s", 2, F.size("s")), F.array(F.size("a"))).alias("e"))).alias("grp", "p"))
@@ -118,10 +126,10 @@ def pack_groups(df: DataFrame, keys: list[str], ord_col: str, target: int, text:
     return s.select(*keys, "grp", F.explode(F.slice("a", b + 1, e - b)).alias("x")).select(*keys, F.col("x.o").alias(ord_col), "grp")
 
 
-def pack_chunks(df: DataFrame, keys: list[str], ord_col: str, target: int) -> DataFrame:
+def pack_chunks(df: DataFrame, keys: list[str], ord_col: str, target: int, groups: DataFrame | None = None) -> DataFrame:
     """Merge consecutive pieces of a section up to `target`: texts joined by a blank line, keywords and
-    references united in order, page range widest (page 0 and null are missing)."""
-    d = df.join(pack_groups(df, keys, ord_col, target), [*keys, ord_col])
+    references united in order, page range widest (page 0 and null are missing). `groups` as of `pack_groups`."""
+    d = df.join(pack_groups(df, keys, ord_col, target) if groups is None else groups, [*keys, ord_col])
     packed = d.groupBy(*keys, "grp").agg(
         F.array_sort(
             F.collect_list(
@@ -166,13 +174,18 @@ def assemble_chunks(
 ) -> DataFrame:
     """Guard, pack, number and count: the chunks of every document in reading order. Pieces inherit
     keywords, references and pages of the chunk they come from; `sec` orders the sections."""
-    df = materialize(df, "raw-chunks")  # the fold and the texts both start from it
     # outer explodes throughout: an inner one adds a filter that evaluates the whole fold once more
     d = enforce_token_limit(df, limit).select(*[c for c in df.columns if c != "text"], F.posexplode_outer("pieces").alias("__p", "text"))
-    d = d.withColumn("__o", F.struct(F.col(ord_col).alias("a"), F.col("__p").alias("b")))
-    packed = pack_chunks(d.drop(ord_col).withColumnRenamed("__o", "o"), [doc, sec, *([sec_page] if sec_page else [])], "o", min(target, limit))
+    d = d.withColumn("o", F.struct(F.col(ord_col).alias("a"), F.col("__p").alias("b"))).drop(ord_col)
+    d = materialize(d.withColumn("__u", T.unit_count(F.col("text"))), "pieces")  # counts and texts both start from it
+    keys = [doc, sec, *([sec_page] if sec_page else [])]
+    groups = materialize(pack_groups(d, keys, "o", min(target, limit), units="__u"), "groups")
+    packed = pack_chunks(d.drop("__u", "__p"), keys, "o", min(target, limit), groups)
     if sec_page:
         packed = packed.withColumn("page_start", F.coalesce("page_start", sec_page)).withColumn("page_end", F.coalesce("page_end", sec_page))
-    w = Window.partitionBy(doc).orderBy(sec, "grp")
-    packed = packed.withColumn("chunk_index", (F.row_number().over(w) - 1 + start_index).cast("int"))
+    # numbers from counts per section: no text passes the window
+    w = Window.partitionBy(doc).orderBy(*keys[1:])
+    n = groups.groupBy(*keys).agg((F.max("grp") + 1).alias("n"))
+    first = n.select(*keys, (F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n") + start_index).alias("__first"))
+    packed = packed.join(first, keys).withColumn("chunk_index", (F.col("__first") + F.col("grp")).cast("int")).drop("__first")
     return packed.withColumn("token_count", T.token_count(F.col("text")))

@@ -69,8 +69,9 @@ def resume_plan(sections: DataFrame, chunks: DataFrame, key: str, title: str = "
     done = completed_prefix(sections, chunks, key, title, ord_col)
     kept = sections.join(done, key).where(F.col(ord_col) < F.col("done")).select(key, F.col(title).alias("section_title")).distinct()
     w = Window.partitionBy(key).orderBy("chunk_index")
-    c = chunks.join(kept, [key, "section_title"], "left_semi")
-    return c.withColumn("chunk_index", (F.row_number().over(w) - 1).cast("int"))
+    n = chunks.select(key, "section_title", "chunk_index").join(kept, [key, "section_title"], "left_semi")
+    n = n.select(key, "chunk_index", (F.row_number().over(w) - 1).cast("int").alias("__n"))  # no text in the window
+    return chunks.join(n, [key, "chunk_index"]).drop("chunk_index").withColumnRenamed("__n", "chunk_index")
 
 
 def usage_totals(log: DataFrame, counters: list[str], model: str = "model") -> DataFrame:

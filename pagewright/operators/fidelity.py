@@ -7,7 +7,7 @@ documents.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions import text as T
@@ -94,15 +94,47 @@ def line_counts(chunks: DataFrame, keys: list[str]) -> DataFrame:
     return lines.select(*keys, "line_no", F.explode_outer("w").alias("word")).groupBy(*keys, "line_no", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def novel_lines(chunks: DataFrame, pages: DataFrame, key: str = "doc_id", ident: str = "chunk_id", ref: DataFrame | None = None) -> DataFrame:
+def words_on_pages(chunks: DataFrame, pages: DataFrame, key: str = "doc_id", ident: str = "chunk_id", without_pages: bool = True) -> DataFrame:
+    """(key, ident, word, n, there): how often each word of each chunk stands in it and on the chunk's pages. The chunk's
+    range is held within the document's pages; of documents without pages no word stands anywhere, or they are left
+    out.
+
+    Per (document, word) the counts of the pages are summed up in page order, and each chunk reads the sum at its
+    end and before its start: the rows are those of the chunks' and the pages' words, however wide a range is."""
+    last = pages.groupBy(key).agg(F.max("page_no").alias("__n"))
+    c = chunks.join(last, key, "left" if without_pages else "inner")
+    start = F.greatest(F.lit(1), F.least("page_start", "__n"))
+    c = c.select(key, ident, (start - 1).alias("__lo"), F.greatest(start, F.least("page_end", "__n")).alias("__hi"), "text")
+    ends = F.array(F.struct(F.col("__lo").alias("at"), F.lit(None).cast("bigint").alias("n")), F.struct(F.col("__hi").alias("at"), F.col("n").alias("n")))
+    asked = bag(c, [key, ident, "__lo", "__hi"]).select(key, "word", ident, F.explode(ends).alias("e"))
+    asked = asked.select(key, "word", "e.at", F.lit(1).alias("ask"), ident, "e.n", F.lit(0).cast("bigint").alias("held"))
+    none = F.lit(None).cast(chunks.schema[ident].dataType).alias(ident)
+    held = bag(pages, [key, "page_no"]).select(key, "word", F.col("page_no").alias("at"), F.lit(0).alias("ask"), none, F.lit(None).cast("bigint").alias("n"), F.col("n").alias("held"))
+    w = Window.partitionBy(key, "word").orderBy("at", "ask").rowsBetween(Window.unboundedPreceding, 0)
+    sums = held.unionByName(asked).withColumn("upto", F.sum("held").over(w)).where("ask = 1")
+    return sums.groupBy(key, ident, "word").agg(F.max("n").alias("n"), (F.max("upto") - F.min("upto")).alias("there"))
+
+
+def _novel(chunks: DataFrame, words: DataFrame, key: str, ident: str) -> DataFrame:
+    """(key, ident, line_no, words, absent) of the lines half of whose words or more aren't on the pages. Only chunks
+    with such words are split into lines."""
+    gone = words.where("there = 0").groupBy(key, ident).agg(F.collect_set("word").alias("gone"))
+
+    def line(t: Column, i: Column) -> Column:
+        return F.struct(i.alias("line_no"), T.words(t).alias("w"))
+
+    d = chunks.select(key, ident, "text").join(gone, [key, ident]).withColumn("l", F.transform(F.split("text", LINE_END), line))
+    d = d.withColumn("l", F.filter("l", lambda x: F.size(x["w"]) >= LINE_MIN_WORDS))
+    absent = lambda x: F.size(F.filter(x["w"], lambda y: F.array_contains("gone", y)))
+    d = d.withColumn("l", F.transform("l", lambda x: F.struct(x["line_no"].alias("line_no"), F.size(x["w"]).alias("words"), absent(x).alias("absent"))))
+    d = d.select(key, ident, F.explode_outer(F.filter("l", lambda x: x["absent"] / x["words"] >= LINE_ABSENT)).alias("l"))
+    return d.select(key, ident, "l.*").where("line_no is not null")
+
+
+def novel_lines(chunks: DataFrame, pages: DataFrame, key: str = "doc_id", ident: str = "chunk_id") -> DataFrame:
     """(key, ident, line_no, words, absent) of the lines half of whose words or more aren't on the chunk's
     pages."""
-    lines = line_counts(chunks, [key, ident])
-    ref = range_bag(chunks, pages, key, [key, ident]) if ref is None else ref
-    ref = ref.select(key, ident, "word", F.lit(1).alias("there"))
-    j = lines.join(ref, [key, ident, "word"], "left")
-    s = j.groupBy(key, ident, "line_no").agg(F.sum("n").alias("words"), F.sum(F.when(F.col("there").isNull(), F.col("n")).otherwise(0)).alias("absent"))
-    return s.where(F.col("absent") / F.col("words") >= LINE_ABSENT)
+    return _novel(chunks, words_on_pages(chunks, pages, key, ident), key, ident)
 
 
 def scored_chunks(chunks: DataFrame, unmapped: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
@@ -113,14 +145,13 @@ def scored_chunks(chunks: DataFrame, unmapped: DataFrame | None = None, key: str
 
 def novelty_flags(chunks: DataFrame, pages: DataFrame, key: str = "doc_id", ident: str = "chunk_id") -> DataFrame:
     """(key, ident, novelty, n_lines, first_lines): chunks with much text that isn't on their pages, or with
-    a novel line. `first_lines` are the 0-based numbers of the first three."""
-    ref = materialize(range_bag(chunks, pages, key, [key, ident]), "page-words")
-    s = score(ref, bag(chunks, [key, ident]), [key, ident], chunks)
-    with_pages = pages.select(key).distinct()
-    n = novel_lines(chunks, pages, key, ident, ref).groupBy(key, ident).agg(F.array_sort(F.collect_list("line_no")).alias("l"))
-    d = s.join(with_pages, key, "left_semi").join(n, [key, ident], "left")
-    lines = F.coalesce("l", F.array().cast("array<int>"))
-    d = d.select(key, ident, "novelty", F.size(lines).alias("n_lines"), F.slice(lines, 1, MOST_LINES).alias("first_lines"))
+    a novel line. `first_lines` are the 0-based numbers of the first three. Documents without pages give no row."""
+    words = materialize(words_on_pages(chunks, pages, key, ident, False), "chunk-words")
+    s = words.groupBy(key, ident).agg(F.sum(F.least("n", "there")).alias("matched"), F.sum("n").alias("total"))
+    lines = _novel(chunks, words, key, ident).groupBy(key, ident).agg(F.array_sort(F.collect_list("line_no")).alias("l"))
+    d = s.join(lines, [key, ident], "left")
+    found = F.coalesce("l", F.array().cast("array<int>"))
+    d = d.select(key, ident, (1 - F.col("matched") / F.col("total")).alias("novelty"), F.size(found).alias("n_lines"), F.slice(found, 1, MOST_LINES).alias("first_lines"))
     return d.where((F.col("novelty") > NOVELTY_HIGH) | (F.col("n_lines") > 0))
 
 
