@@ -38,9 +38,12 @@ def dedupe_raw_chunks(df: DataFrame, keys: list[str], ord_col: str = "ord", min_
     def mark(x: Column, i: Column) -> Column:
         return F.struct(i.alias("pos"), F.when(T.space_words(x) >= min_words, digest(T.dedup_key(x))).alias("k"))
 
-    d = df.withColumn("__k", T.dedup_key(F.col("text"))).where("__k <> ''")
-    n = d.select(*keys, ord_col, digest(F.col("__k")).alias("c"), F.filter(F.transform(T.paragraphs(F.col("text")), mark), lambda x: x["k"].isNotNull()).alias("ps"))
-    n = materialize(n, "digests")  # hashes only; three consumers
+    long = lambda: F.filter(F.transform(T.paragraphs(F.col("text")), mark), lambda x: x["k"].isNotNull())
+    whole = T.dedup_key(F.col("text"))
+    # one pass computes all digests; they and the texts have several consumers
+    d = materialize(df.withColumn("__c", F.when(F.col("text").isNotNull(), digest(whole))).withColumn("__ps", long()), "raw-chunks")
+    d = d.where(F.col("__c") != digest(F.lit("")))
+    n = d.select(*keys, ord_col, F.col("__c").alias("c"), F.col("__ps").alias("ps"))
     n = n.groupBy(*keys, "c").agg(F.min_by(F.struct(ord_col, "ps"), ord_col).alias("f")).select(*keys, F.col("f")[ord_col].alias(ord_col), F.col("f.ps").alias("ps"))
     p = n.select(*keys, ord_col, F.explode("ps").alias("p")).select(*keys, ord_col, "p.pos", "p.k")
     seen = p.groupBy(*keys, "k").agg(F.min(F.struct(ord_col, "pos")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys, "k", "f")
@@ -50,7 +53,7 @@ def dedupe_raw_chunks(df: DataFrame, keys: list[str], ord_col: str = "ord", min_
     left = F.filter(T.paragraphs(F.col("text")), lambda x, i: ~F.array_contains("__gone", i))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n\n"))
     # only texts that lost a paragraph can be empty now
-    d = d.drop("__k").join(kept, [*keys, ord_col]).where(F.col("__gone").isNull() | (T.strip(text) != ""))
+    d = d.drop("__c", "__ps").join(kept, [*keys, ord_col]).where(F.col("__gone").isNull() | (T.strip(text) != ""))
     return d.withColumn("text", text).drop("__gone")
 
 
