@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions import text as T
+from pagewright.functions.counters import Counter, pack_exactly
 from pagewright.session import materialize
 
 DEDUP_MIN_WORDS = 25
@@ -173,22 +174,31 @@ def normalize_chunk_pages(df: DataFrame, offset: str, sec_start: str, sec_end: s
 
 
 def assemble_chunks(
-    df: DataFrame, doc: str, sec: str, ord_col: str, limit: int = 1024, target: int = 512, start_index: int = 0, sec_page: str | None = None
+    df: DataFrame, doc: str, sec: str, ord_col: str, limit: int = 1024, target: int = 512, start_index: int | str = 0, sec_page: str | None = None, counter: Counter = Counter()
 ) -> DataFrame:
     """Guard, pack, number and count: the chunks of every document in reading order. Pieces inherit
-    keywords, references and pages of the chunk they come from; `sec` orders the sections."""
+    keywords, references and pages of the chunk they come from; `sec` orders the sections. `start_index` is the
+    number of the first chunk, or the column that holds it. An exact `counter` packs and counts; the guard in front
+    of it cuts by the estimate."""
     # outer explodes throughout: an inner one adds a filter that evaluates the whole fold once more
     d = enforce_token_limit(df, limit).select(*[c for c in df.columns if c != "text"], F.posexplode_outer("pieces").alias("__p", "text"))
     d = d.withColumn("o", F.struct(F.col(ord_col).alias("a"), F.col("__p").alias("b"))).drop(ord_col)
     d = materialize(d.withColumn("__u", T.unit_count(F.col("text"))), "pieces")  # counts and texts both start from it
-    keys = [doc, sec, *([sec_page] if sec_page else [])]
-    groups = materialize(pack_groups(d, keys, "o", min(target, limit), units="__u"), "groups")
+    keys = [doc, sec, *([sec_page] if sec_page else []), *([start_index] if isinstance(start_index, str) else [])]
+    if counter.exact:
+        groups = pack_exactly(d.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy("o"))), keys, "__n", min(target, limit), counter)
+        numbered = d.select(*keys, "o", F.row_number().over(Window.partitionBy(*keys).orderBy("o")).alias("__n"))
+        groups = numbered.join(groups, [*keys, "__n"]).select(*keys, "o", "grp")
+    else:
+        groups = pack_groups(d, keys, "o", min(target, limit), units="__u")
+    groups = materialize(groups, "groups")
     packed = pack_chunks(d.drop("__u", "__p"), keys, "o", min(target, limit), groups)
     if sec_page:
         packed = packed.withColumn("page_start", F.coalesce("page_start", sec_page)).withColumn("page_end", F.coalesce("page_end", sec_page))
     # numbers from counts per section: no text passes the window
     w = Window.partitionBy(doc).orderBy(*keys[1:])
+    start_index = F.col(start_index) if isinstance(start_index, str) else F.lit(start_index)
     n = groups.groupBy(*keys).agg((F.max("grp") + 1).alias("n"))
     first = n.select(*keys, (F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n") + start_index).alias("__first"))
     packed = packed.join(first, keys).withColumn("chunk_index", (F.col("__first") + F.col("grp")).cast("int")).drop("__first")
-    return packed.withColumn("token_count", T.token_count(F.col("text")))
+    return packed.withColumn("token_count", counter.count(F.col("text")))

@@ -15,6 +15,16 @@ def document_id(source_file: Column, title: Column, whole: Column) -> Column:
     return T.content_id("doc_", key)
 
 
+def with_document_id(profiles: DataFrame) -> DataFrame:
+    """Adds export_id: the id that the chunk, document and term rows of a profile share. It is computed here once, from
+    the same columns, so that rows of a record without file and title agree as well."""
+    if "export_id" in profiles.columns:
+        return profiles
+    title = F.col("title") if "title" in profiles.columns else F.lit(None).cast("string")
+    source = F.col("source_file") if "source_file" in profiles.columns else F.lit(None).cast("string")
+    return profiles.withColumn("export_id", document_id(source, title, F.to_json(F.struct(*sorted(profiles.columns)))))
+
+
 def embedding_text(title: Column, plan: Column, source_file: Column, section: Column, summary: Column, text: Column) -> Column:
     """Document line, section line and text; the plan is added unless the title names it."""
     head = F.coalesce(F.nullif(T.clean(title), F.lit("")), F.nullif(T.clean(plan), F.lit("")), F.lit(""))
@@ -30,19 +40,18 @@ def _cast(df: DataFrame, schema) -> DataFrame:
 
 
 def chunk_rows(profiles: DataFrame, chunks: DataFrame) -> DataFrame:
-    """One row per different text of a document, the first in chunk order; blank texts are skipped.
+    """One row per different text of a document, the first in chunk order; blank texts are skipped. A chunk is
+    named by its file and its chunk_id, or chunk_index where there is no chunk_id.
 
     The duplicate check is an aggregate on (document, hash): it combines before the shuffle and moves
     no text. Adds n_copies to the export columns."""
-    p = profiles.select(
-        "source_file", document_id(F.col("source_file"), F.col("title"), F.to_json(F.struct(*profiles.columns))).alias("doc_id"),
-        "doc_type", "title", "plan_name", "sponsor", "effective_dates",
-    )
+    p = with_document_id(profiles).select("source_file", F.col("export_id").alias("doc_id"), "doc_type", "title", "plan_name", "sponsor", "effective_dates")
+    name = "chunk_id" if "chunk_id" in chunks.columns else "chunk_index"
     c = chunks.withColumn("text", T.clean(F.col("text"))).where("text <> ''").join(p, "source_file")
     c = c.withColumn("id", T.content_id("chk_", F.concat("doc_id", F.lit("::"), "text")))
-    first = c.groupBy("id").agg(F.min(F.struct("chunk_index", "chunk_id")).alias("f"), F.count(F.lit(1)).alias("n_copies"))
-    first = first.select(F.col("f.chunk_id").alias("chunk_id"), "n_copies")
-    c = c.join(first, "chunk_id")
+    first = c.groupBy("id").agg(F.min(F.struct("chunk_index", F.col(name).alias("name"), "source_file")).alias("f"), F.count(F.lit(1)).alias("n_copies"))
+    first = first.select(F.col("f.source_file").alias("source_file"), F.col("f.name").alias(name), "n_copies")
+    c = c.join(first, ["source_file", name])
     c = c.withColumn("embedding_text", embedding_text(*[F.col(x) for x in ("title", "plan_name", "source_file", "section_title", "section_summary", "text")]))
     for x in ("doc_type", "title", "plan_name", "sponsor", "section_title", "section_type", "section_summary"):
         c = c.withColumn(x, T.clean(F.col(x)))
@@ -56,7 +65,6 @@ def chunk_rows(profiles: DataFrame, chunks: DataFrame) -> DataFrame:
 def document_rows(profiles: DataFrame, sections: DataFrame, glossary: DataFrame, rows: DataFrame) -> DataFrame:
     """One row per document with its counts, sections and terms as JSON. `profiles` has doc_id as the
     tables' key; the exported doc_id is the content id."""
-    key = document_id(F.col("source_file"), F.col("title"), F.to_json(F.struct(*profiles.columns)))
     s = sections.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("section_count"),
         F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("sec_ord", F.struct(*[T.clean(F.col(c)).alias(c) for c in ("title", "section_type", "summary")], *[F.coalesce(c, F.lit(0)).alias(c) for c in ("page_start", "page_end")]).alias("s")))), lambda x: x["s"])).alias("sections_json"),
@@ -65,7 +73,7 @@ def document_rows(profiles: DataFrame, sections: DataFrame, glossary: DataFrame,
         F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("term_ord", F.struct(*[T.clean(F.col(c)).alias(c) for c in ("term", "definition")]).alias("g")))), lambda x: x["g"])).alias("glossary_json")
     )
     n = rows.groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("chunk_count"))
-    d = profiles.withColumn("__id", key).join(s, "doc_id", "left").join(g, "doc_id", "left").join(n, "__id", "left")
+    d = with_document_id(profiles).withColumnRenamed("export_id", "__id").join(s, "doc_id", "left").join(g, "doc_id", "left").join(n, "__id", "left")
     d = d.na.fill(0, ["section_count", "chunk_count"]).na.fill("[]", ["sections_json", "glossary_json"]).drop("doc_id").withColumnRenamed("__id", "doc_id")
     for x in ("source_file", "title", "doc_type", "plan_name", "sponsor", "notes"):
         d = d.withColumn(x, T.clean(F.col(x)))
@@ -73,12 +81,13 @@ def document_rows(profiles: DataFrame, sections: DataFrame, glossary: DataFrame,
 
 
 def glossary_rows(profiles: DataFrame, glossary: DataFrame) -> DataFrame:
-    """One row per term of a document, the first; equal without case."""
-    p = profiles.select("doc_id", document_id(F.col("source_file"), F.col("title"), F.to_json(F.struct(*profiles.columns))).alias("__id"))
+    """One row per term of a document, the first; equal without case. A term without a definition stands alone in
+    its embedding text."""
+    p = with_document_id(profiles).select("doc_id", F.col("export_id").alias("__id"))
     g = glossary.withColumn("term", T.clean(F.col("term"))).withColumn("definition", T.clean(F.col("definition"))).where("term <> ''").join(p, "doc_id")
     g = g.withColumn("id", T.content_id("gls_", F.concat("__id", F.lit("::"), F.lower("term"))))
     f = g.groupBy("id").agg(F.min_by(F.struct(F.col("__id").alias("doc_id"), "term", "definition"), F.struct("term_ord", "term_id")).alias("r"))
-    f = f.select("id", "r.*").withColumn("embedding_text", F.concat("term", F.lit(": "), "definition"))
+    f = f.select("id", "r.*").withColumn("embedding_text", F.when(F.col("definition") == "", F.col("term")).otherwise(F.concat("term", F.lit(": "), "definition")))
     return _cast(f, EXPORT_GLOSSARY)
 
 

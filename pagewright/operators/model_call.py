@@ -149,29 +149,99 @@ def mode(pages: Column, encoded_bytes: Column, budget: int, most_pages: int = 10
     return F.when((pages <= most_pages) & (encoded_bytes <= budget), "full").otherwise("sliced")
 
 
+class Embedder(Protocol):
+    """Texts to vectors of one length; the pluggable point of `embed_rows`."""
+
+    def embed(self, texts: list[str]) -> list[list[float]]: ...
+
+
+@dataclass
+class RateLimited(Exception):
+    """HTTP 429 or 5xx; `retry_after` are the seconds the service asks for."""
+
+    retry_after: float | None = None
+
+
+def embed_texts(client: Embedder, texts: list[str], dim: int, batch: int = 64, retries: int = 4, wait: Callable[[float], None] = time.sleep) -> list[list[float]]:
+    """Vectors of the texts in sub-batches. Limits and server faults are tried again, after the time the service asks
+    for or doubling pauses; a wrong number or length of vectors is an error."""
+    out: list[list[float]] = []
+    for at in range(0, len(texts), batch):
+        part, pause = texts[at : at + batch], 1.0
+        for left in range(retries, -1, -1):
+            try:
+                got = client.embed(part)
+                break
+            except RateLimited as e:
+                if not left:
+                    raise
+                wait(e.retry_after if e.retry_after is not None else pause)
+                pause *= 2
+        if len(got) != len(part) or any(len(v) != dim for v in got):
+            raise ValueError(f"the embedder must give one vector of length {dim} per text")
+        out += got
+    return out
+
+
+def embed_rows(rows: DataFrame, client: Callable[[], Embedder], dim: int, text: str = "embedding_text", key: str = "id", embedding: str = "embedding", batch: int = 64, retries: int = 4) -> DataFrame:
+    """The next version of `rows`: those without a vector get one, the others keep theirs. Only the rows without one
+    go through Python, and only vectors are joined back."""
+    todo = rows.where(F.col(embedding).isNull() & F.col(text).isNotNull()).select(key, F.col(text).alias("__t"))
+    kind = rows.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = client()
+        for b in batches:
+            yield b[[key]].assign(__v=embed_texts(own, b["__t"].tolist(), dim, batch, retries))
+
+    new = todo.mapInPandas(run, f"`{key}` {kind}, __v array<float>")
+    d = rows.join(new, key, "left").withColumn(embedding, F.coalesce(embedding, "__v"))
+    return d.select(*rows.columns)
+
+
+def usage_summary(totals: DataFrame, cost: float | None = None) -> str:
+    """One line per model of `usage_totals` (a row per model, so few) and the cost, if all prices are known."""
+    lines = []
+    for r in totals.orderBy("model").collect():
+        shown = ", ".join(f"{(r[c] or 0):,} {c.replace('_', ' ')}" for c in COUNTERS if c in totals.columns)
+        lines.append(f"{r['model'] or 'unknown model'}: {r['calls']:,} calls, {shown}")
+    lines.append(f"cost: {cost:,.2f}" if cost is not None else "cost: unknown")
+    return "\n".join(lines)
+
+
+@dataclass
+class HashEmbedder:
+    """Deterministic offline embedder: signed hashes of the words, unit length."""
+
+    dim: int = 1024
+
+    def embed(self, texts: list[str]) -> list[list[float]]:
+        import numpy as np
+        import xxhash
+
+        out = []
+        for t in texts:
+            v = np.zeros(self.dim, np.float32)
+            for w in re.findall(r"\w+", (t or "").lower()):
+                h = xxhash.xxh64_intdigest(w)
+                v[h % self.dim] += 1 if h >> 63 else -1
+            n = np.linalg.norm(v)
+            out.append((v / n if n else v).tolist())
+        return out
+
+
 def hash_embedder(dim: int = 1024, batch: int = 64):
     """Deterministic offline embedding as a pandas UDF: signed hashes of the words, unit length. Texts go
     through in sub-batches as a client's requests would."""
-    import numpy as np
-    import xxhash
 
     @F.pandas_udf("array<float>")
     def embed(texts: pd.Series) -> pd.Series:
-        out = []
-        for at in range(0, len(texts), batch):
-            for t in texts.iloc[at : at + batch]:
-                v = np.zeros(dim, np.float32)
-                for w in re.findall(r"\w+", (t or "").lower()):
-                    h = xxhash.xxh64_intdigest(w)
-                    v[h % dim] += 1 if h >> 63 else -1
-                n = np.linalg.norm(v)
-                out.append(v / n if n else v)
-        return pd.Series(out)
+        return pd.Series(embed_texts(HashEmbedder(dim), texts.tolist(), dim, batch), dtype=object)
 
     return embed
 
 
-#: Lines of the context block (fixed values).
+#: Lines of the context block (fixed values); its labels, here and in `plans.pipeline`, are fixed as well.
 CONTEXT_HEAD, CONTEXT_SECTION = "DOCUMENT MAP (for context):", "CURRENT SECTION:"
 
 

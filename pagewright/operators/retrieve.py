@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions import text as T
@@ -58,10 +58,10 @@ def _best(q: pd.DataFrame, v: pd.DataFrame, k: int, step: int = 1024) -> pd.Data
 
 
 def _top(cands: DataFrame, k: int) -> DataFrame:
-    """The best k per query: each task has sent k at most, the aggregate combines the rest."""
-    d = cands.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("m"), "id", "score"))).alias("a"))
-    d = d.select("query_id", F.posexplode(F.slice("a", 1, k)).alias("pos", "x"))
-    return d.select("query_id", (F.col("pos") + 1).alias("rank"), F.col("x.id").alias("id"), F.col("x.score").alias("score"))
+    """The best k per query, ties by id. The limit on the row number is applied in every task before the shuffle, so
+    that each sends k rows of a query at most."""
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
 
 def vector_topk(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "embedding", filters: dict | None = None, block: int = BLOCK) -> DataFrame:
@@ -78,7 +78,7 @@ def vector_topk(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str
     return _top(found, k)
 
 
-def _sampled(vectors: DataFrame, id_col: str, vec_col: str, sample: int) -> np.ndarray:
+def sampled(vectors: DataFrame, id_col: str = "id", vec_col: str = "embedding", sample: int = FIT_SAMPLE) -> np.ndarray:
     """At most `sample` unit vectors, chosen by a hash of their id."""
     rows = vectors.where(F.col(vec_col).isNotNull()).select(id_col, vec_col).orderBy(F.xxhash64(id_col), id_col).limit(sample).toPandas()
     if rows.empty:
@@ -86,9 +86,12 @@ def _sampled(vectors: DataFrame, id_col: str, vec_col: str, sample: int) -> np.n
     return _matrix(rows[vec_col])
 
 
-def fit_index(vectors: DataFrame, cells: int | None = None, id_col: str = "id", vec_col: str = "embedding", sample: int = FIT_SAMPLE, rounds: int = 15) -> np.ndarray:
-    """Cell centres (spherical k-means) from at most `sample` rows, chosen by a hash of their id."""
-    x = _sampled(vectors, id_col, vec_col, sample)
+def fit_index(
+    vectors: DataFrame, cells: int | None = None, id_col: str = "id", vec_col: str = "embedding", sample: int = FIT_SAMPLE, rounds: int = 15, x: np.ndarray | None = None
+) -> np.ndarray:
+    """Cell centres (spherical k-means) from at most `sample` rows, chosen by a hash of their id; `x` are these rows if
+    they were drawn before (`sampled`)."""
+    x = sampled(vectors, id_col, vec_col, sample) if x is None else x
     cells = min(len(x), cells or max(1, int(math.sqrt(len(x)))))
     c = x[np.random.default_rng(7).choice(len(x), cells, replace=False)]
     for _ in range(rounds):
@@ -101,9 +104,9 @@ def fit_index(vectors: DataFrame, cells: int | None = None, id_col: str = "id",
     return c
 
 
-def probes_for(vectors: DataFrame, centres: np.ndarray, k: int = 5, target: float = 0.95, id_col: str = "id", vec_col: str = "embedding", sample: int = FIT_SAMPLE, queries: int = 500) -> int:
+def probes_for(vectors: DataFrame, centres: np.ndarray, k: int = 5, target: float = 0.95, id_col: str = "id", vec_col: str = "embedding", sample: int = FIT_SAMPLE, queries: int = 500, x: np.ndarray | None = None) -> int:
     """The fewest cells to scan for a recall of `target` against brute force, measured on the sample."""
-    x = _sampled(vectors, id_col, vec_col, sample)
+    x = sampled(vectors, id_col, vec_col, sample) if x is None else x
     q = x[:queries]
     true = np.argsort(-(q @ x.T), axis=1, kind="stable")[:, :k]
     cell = (x @ centres.T).argmax(axis=1)
@@ -126,8 +129,11 @@ def assign_cells(vectors: DataFrame, centres: np.ndarray, probes: int = 1, id_co
     return src.mapInPandas(run, f"id {src.schema['id'].dataType.simpleString()}, vec array<float>, cell int")
 
 
-def index_topk(index: DataFrame, queries: DataFrame, centres: np.ndarray, k: int = 5, probes: int = 8, id_col: str = "id", vec_col: str = "embedding", parts: int = 16) -> DataFrame:
-    """As `vector_topk` over the `probes` nearest cells. Large cells are spread over `parts` by id."""
+def index_topk(index: DataFrame, queries: DataFrame, centres: np.ndarray, k: int = 5, probes: int = 8, id_col: str = "id", vec_col: str = "embedding", block: int = BLOCK) -> DataFrame:
+    """As `vector_topk` over the `probes` nearest cells. Cells are spread by id over as many parts as hold about
+    `block` rows of the largest cell, so that no group grows with the table."""
+    largest = index.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    parts = max(1, math.ceil(largest / block))
     q = assign_cells(queries, centres, probes, id_col, vec_col).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<bigint>")))
     v = index.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)))
     kind, qk = v.schema["id"].dataType.simpleString(), q.schema["id"].dataType.simpleString()

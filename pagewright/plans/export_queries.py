@@ -50,9 +50,11 @@ def glossary_rows(spark, d):
 
 def _versions(spark, d):
     g = glossary(spark, d, "doc_id", "term", "definition").select(F.col("term_id").alias("id"), "doc_id", F.concat_ws(": ", "term", "definition").alias("embedding_text"))
-    now = g.where("id % 3 <> 0").withColumn("embedding", F.col("id") * 2)
-    new = g.where("doc_id % 2 = 0 and id % 4 <> 0").withColumn("embedding_text", F.when(F.col("id") % 5 == 0, F.concat("embedding_text", F.lit("!"))).otherwise(F.col("embedding_text")))
-    return now, new
+    # the whole table as it first came meets all rows delivered again, with what changed since
+    now = g.withColumn("embedding", F.col("id") * 2)
+    new = table(spark, d, "glossary").groupBy("term_id").agg(F.max_by(F.struct("doc_id", "term", "definition"), F.struct("loaded_at", "term", "definition")).alias("r"))
+    new = new.select(F.col("term_id").alias("id"), "r.doc_id", F.concat_ws(": ", F.trim("r.term"), "r.definition").alias("embedding_text"))
+    return now, new.where("id is not null")
 
 
 def merge_upsert(spark, d):
@@ -80,8 +82,9 @@ def filtered_topk(spark, d):
 def index_topk(spark, d):
     """Approximate search: every row is indexed, the fit is on a bounded sample."""
     v = _vectors(spark, d)
-    c = R.fit_index(v)
-    return R.index_topk(R.assign_cells(v, c), v.where("id % 20 = 0"), c, 5, probes=R.probes_for(v, c, 5)).select("query_id", "rank", "id")
+    x = R.sampled(v)
+    c = R.fit_index(v, x=x)
+    return R.index_topk(R.assign_cells(v, c), v.where("id % 20 = 0"), c, 5, probes=R.probes_for(v, c, 5, x=x)).select("query_id", "rank", "id")
 
 
 def hybrid_topk(spark, d):
@@ -193,8 +196,9 @@ rows_ AS (SELECT id, doc_id, source_file, text, {_ET} AS embedding_text, {', '.j
  coalesce(page_start, 0) AS page_start, coalesce(page_end, 0) AS page_end, token_count, n_copies,
  {', '.join(f"coalesce(array_to_string({x}, '|'), '') AS {x}" for x in ('effective_dates', 'keywords', 'cross_references'))} FROM cr WHERE rn = 1)"""
 _VER = S.BASE + """, g AS (SELECT term_id AS id, doc_id, concat_ws(': ', term, definition) AS embedding_text FROM glo),
-t AS (SELECT *, id * 2 AS embedding FROM g WHERE id % 3 <> 0),
-i AS (SELECT id, doc_id, CASE WHEN id % 5 = 0 THEN embedding_text || '!' ELSE embedding_text END AS embedding_text FROM g WHERE doc_id % 2 = 0 AND id % 4 <> 0),
+t AS (SELECT *, id * 2 AS embedding FROM g),
+l AS (SELECT *, row_number() OVER (PARTITION BY term_id ORDER BY loaded_at DESC, term DESC, definition DESC) AS rn FROM glossary WHERE term_id IS NOT NULL),
+i AS (SELECT term_id AS id, doc_id, concat_ws(': ', trim(term), definition) AS embedding_text FROM l WHERE rn = 1),
 m AS (SELECT i.id, i.doc_id, i.embedding_text, CASE WHEN t.embedding_text <> i.embedding_text THEN NULL ELSE t.embedding END AS embedding FROM i LEFT JOIN t USING (id)
  UNION ALL SELECT * FROM t WHERE id NOT IN (SELECT id FROM i) AND doc_id NOT IN (SELECT doc_id FROM i))"""
 
@@ -225,18 +229,18 @@ SQL = {
         g AS (SELECT xid AS doc_id, {_clean('term')} AS term, {_clean('definition')} AS definition, term_ord, term_id FROM glo JOIN p USING (doc_id) WHERE {_clean('term')} <> ''),
         i AS (SELECT *, {S.content_id('gls_', "(doc_id || '::' || CASE WHEN regexp_matches(term, 'Σ$|Σ[^' || chr(92) || 'p{L}]') THEN regexp_replace(lower(term), 'σ($|[^' || chr(92) || 'p{L}])', 'ς' || chr(92) || '1', 'g') ELSE lower(term) END)").replace("' || chr(92) || '", chr(92))} AS id FROM g),
         r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY term_ord, term_id) AS rn FROM i)
-        SELECT id, doc_id, term, definition, term || ': ' || definition AS embedding_text FROM r WHERE rn = 1""",
+        SELECT id, doc_id, term, definition, term || CASE WHEN definition = '' THEN '' ELSE ': ' || definition END AS embedding_text FROM r WHERE rn = 1""",
     "merge_upsert": _VER + " SELECT * FROM m",
     "pending_embeddings": _VER + " SELECT id, doc_id FROM m WHERE embedding IS NULL",
     "vector_topk": f"SELECT * FROM {_near('true', 5)}",
     "filtered_topk": f"SELECT * FROM {_near('v.label >= 3 AND v.label <> 5', 5)}",
     "hybrid_topk": f"""WITH dd AS (SELECT doc_id - 1001 AS id, text FROM documents WHERE text IS NOT NULL), n AS (SELECT count(*) AS n FROM dd),
         dw AS (SELECT DISTINCT id, unnest({S.words('text', 4)}) AS word FROM dd),
-        qq AS (SELECT id, ({S.words('text', 4)})[1:8] AS a FROM dd WHERE id % 20 = 0), qw AS (SELECT DISTINCT id AS query_id, unnest(a) AS word FROM qq),
+        qw AS (SELECT DISTINCT id AS query_id, unnest({S.words('text', 4)}) AS word FROM dd WHERE id % 20 = 0),
         wt AS (SELECT word, CAST(round(1000.0::DOUBLE * ln(1.0::DOUBLE + (SELECT n FROM n)::DOUBLE / count(*))) AS BIGINT) AS w FROM dw GROUP BY word),
         ks AS (SELECT query_id, id, sum(w) AS s FROM dw JOIN qw USING (word) JOIN wt USING (word) GROUP BY ALL),
-        kr AS (SELECT * FROM (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM ks) WHERE rank <= 20),
-        b AS (SELECT query_id, id, rank FROM {_near('true', 20)} UNION ALL SELECT query_id, id, rank FROM kr),
+        kr AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM ks),
+        b AS (SELECT query_id, id, rank FROM {_near('true', 10**9)} UNION ALL SELECT query_id, id, rank FROM kr),
         f AS (SELECT query_id, id, sum(1.0::DOUBLE / (rank + 60)) AS s FROM b GROUP BY ALL)
         SELECT query_id, id, CAST(rank AS INTEGER) AS rank FROM (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM f) WHERE rank <= 5""",
     "text_filter": S.BASE + " SELECT chunk_id FROM chk WHERE contains(lower(coalesce(text, '') || ' ' || coalesce(array_to_string(keywords, ' '), '') || ' ' || coalesce(section_title, '')), 'pension')",

@@ -27,8 +27,9 @@ def plan_batches(spark, d):
 
 
 def slice_pages(spark, d):
-    ranges = profiles(spark, d).select("doc_id", F.lit(2).alias("page_start"), F.lit(4).alias("page_end"))
-    return P.slice_pages(doc_pages(spark, d), ranges).select("doc_id", "page_no", "text")
+    """The pages of every planned batch of every document."""
+    ranges = P.plan_batches(page_count(spark, d), "page_count", 4, 1).select("doc_id", "batch_no", "page_start", "page_end")
+    return P.slice_pages(doc_pages(spark, d), ranges).select("doc_id", "batch_no", "page_no", "text")
 
 
 def _page_ranges(spark, d):
@@ -164,7 +165,9 @@ SQL = {
         ELSE CAST(ceil((page_count - {MAX_PAGES}) / {MAX_PAGES - OVERLAP}) AS BIGINT) + 1 END)) AS k FROM prof WHERE page_count > 0)
         SELECT doc_id, CAST(k AS INTEGER) AS batch_no, CAST(k * {MAX_PAGES - OVERLAP} + 1 AS INTEGER) AS page_start,
         CAST(least(k * {MAX_PAGES - OVERLAP} + {MAX_PAGES}, n) AS INTEGER) AS page_end FROM b""",
-    "slice_pages": S.BASE + f", {S.PAGES} SELECT p.doc_id, p.page_no, p.text FROM pages p JOIN prof USING (doc_id) WHERE p.page_no BETWEEN 2 AND 4",
+    "slice_pages": S.BASE + f", {S.PAGES}, n AS (SELECT doc_id, max(page_no) AS n FROM pages GROUP BY doc_id), "
+    "b AS (SELECT doc_id, n, unnest(range(0, CASE WHEN n <= 4 THEN 1 ELSE (n - 2) // 3 + 1 END)) AS b FROM n) "
+    "SELECT p.doc_id, CAST(b AS INTEGER) AS batch_no, p.page_no, p.text FROM b JOIN pages p ON p.doc_id = b.doc_id AND p.page_no BETWEEN b * 3 + 1 AND least(b * 3 + 4, n)",
     "slice_to_fit": f"WITH {S.PAGES}, {_PC}, " + _halve("SELECT doc_id, 0 AS b0, 1 AS s, page_count AS e FROM n")
     + f" SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1 AS INTEGER) AS slice_no, s AS slice_start, e AS slice_end, n <= {BUDGET} AS fits FROM hv",
     "iter_batches": f"WITH {S.PAGES}, {_PC}, " + _halve(_BATCH4) + f" SELECT doc_id, CAST(b0 AS INTEGER) AS batch_no, s AS slice_start, e AS slice_end, n <= {BUDGET} AS fits FROM hv",

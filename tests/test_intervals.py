@@ -46,3 +46,15 @@ def test_touching_and_repeated_rows(spark):
     i = spark.createDataFrame([(1, 1, 3), (1, 4, 6), (1, 4, 6), (1, 9, 99)], "doc_id int, page_start int, page_end int")
     m = spark.createDataFrame([(1, 1, 10)], "doc_id int, lo int, hi int")
     assert sorted(tuple(r) for r in coverage(i, m).collect()) == [(1, "gap", 7, 8), (1, "period", 1, 6), (1, "period", 9, 10)]
+
+
+def test_wide_ranges_cost_nothing(spark):
+    """Microseconds of years: rows follow the intervals, not the width of the range."""
+    year = 31_536_000_000_000
+    rows = [(1, 5 * year, 7 * year), (1, 7 * year + 1, 9 * year), (1, 20 * year, 20 * year + 1), (2, 3, 4)]
+    i = spark.createDataFrame(rows, "doc_id int, page_start long, page_end long")
+    m = spark.createDataFrame([(1, 0, 50 * year), (2, 0, 60 * year), (3, -(2**61), 2**61 - 1)], "doc_id int, lo long, hi long")
+    assert sorted(tuple(r) for r in coverage(i, m).collect()) == [
+        (1, "gap", 0, 5 * year - 1), (1, "gap", 9 * year + 1, 20 * year - 1), (1, "gap", 20 * year + 2, 50 * year), (1, "period", 5 * year, 9 * year), (1, "period", 20 * year, 20 * year + 1),
+        (2, "gap", 0, 2), (2, "gap", 5, 60 * year), (2, "period", 3, 4), (3, "gap", -(2**61), 2**61 - 1),
+    ]

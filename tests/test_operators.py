@@ -154,3 +154,28 @@ def test_resume(spark):
     c = spark.createDataFrame([(1, "S1", 7), (1, "S1", 9), (1, "S3", 11)], "doc_id int, section_title string, chunk_index int")
     assert U.completed_prefix(s, c, "doc_id").first().done == 1
     assert sorted(r.chunk_index for r in U.resume_plan(s, c, "doc_id").collect()) == [0, 1]
+
+
+def test_rows_of_a_nameless_record_share_their_id(spark):
+    from pagewright.operators import export as X
+
+    p = spark.createDataFrame([(1, None, None, "t", None, None, [], 3, [], None)], "doc_id int, source_file string, title string, doc_type string, plan_name string, sponsor string, effective_dates array<string>, page_count int, cross_references array<string>, notes string")
+    g = spark.createDataFrame([(1, 0, 5, "Plan", ""), (1, 1, 6, "Fee", "a sum"), (1, 2, 7, "PLAN", "later")], "doc_id int, term_ord int, term_id int, term string, definition string")
+    s = spark.createDataFrame([], "doc_id int, sec_ord int, title string, section_type string, summary string, page_start int, page_end int")
+    c = spark.createDataFrame([], "source_file string, chunk_index int, text string, section_title string, section_type string, section_summary string, page_start int, page_end int, keywords array<string>, cross_references array<string>, token_count int")
+    p = X.with_document_id(p)
+    terms = X.glossary_rows(p, g).collect()
+    assert sorted((t.term, t.embedding_text) for t in terms) == [("Fee", "Fee: a sum"), ("Plan", "Plan")]
+    rows = X.chunk_rows(p, c)
+    assert {t.doc_id for t in terms} == {r.doc_id for r in X.document_rows(p, s, g, rows).collect()}
+
+
+def test_chunks_of_two_files_with_the_same_numbers(spark):
+    from pagewright.operators import export as X
+
+    p = spark.createDataFrame([("a.pdf", "A", "t", "", "", []), ("b.pdf", "B", "t", "", "", [])], "source_file string, title string, doc_type string, plan_name string, sponsor string, effective_dates array<string>")
+    rows = [("a.pdf", 0, "x"), ("a.pdf", 1, "y"), ("a.pdf", 2, "x"), ("b.pdf", 0, "x"), ("b.pdf", 1, "z")]
+    c = spark.createDataFrame([(f, i, t, "", "", "", 1, 1, [], [], 1) for f, i, t in rows], "source_file string, chunk_index int, text string, section_title string, section_type string, section_summary string, page_start int, page_end int, keywords array<string>, cross_references array<string>, token_count int")
+    got = X.chunk_rows(p, c).collect()
+    assert sorted((r.source_file, r.text, r.n_copies) for r in got) == [("a.pdf", "x", 2), ("a.pdf", "y", 1), ("b.pdf", "x", 1), ("b.pdf", "z", 1)]
+    assert len({r.id for r in got}) == 4
