@@ -15,8 +15,9 @@ class EngineConfig:
     batch_overlap_pages: int = 1
     max_request_mb: float = 25.0
     full_document_pages: int = 100
-    outline_concurrency: int = 4
-    chunk_concurrency: int = 4
+    #: most calls at a time; None leaves it to the cluster
+    outline_concurrency: int | None = None
+    chunk_concurrency: int | None = None
     max_output_tokens: int = 16000
     max_repair_attempts: int = 1
     max_transient_retries: int = 2

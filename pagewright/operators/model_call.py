@@ -31,6 +31,10 @@ class Refused(Exception):
     """Never worth another try."""
 
 
+class Overflow(Exception):
+    """The request is larger than the model takes."""
+
+
 class Unusable(Exception):
     """The answer doesn't hold what was asked for."""
 
@@ -53,8 +57,11 @@ class RuleProposer:
     name: str = "offline-rules"
 
     def propose(self, request: dict, repair: str | None = None) -> Answer:
-        pages = request.get("pages") or []
+        pages, at = request.get("pages") or [], 1
         n = sum(len(p) for p in pages)
+        if request.get("mode") == "full":
+            at = request["first"]
+            pages = pages[at - 1 : request["last"]]
         if request.get("kind") == "outline":
             found, last = [], 1
             for no, text in enumerate(pages, 1):
@@ -71,7 +78,7 @@ class RuleProposer:
                     "effective_dates": [], "sections": found, "glossary": [], "cross_references": [], "notes": ""}
         else:
             body = {"chunks": [{"text": t.strip(), "keywords": [], "cross_references": [], "page_start": no, "page_end": no}
-                               for no, p in enumerate(pages, 1) for t in re.split(r"\n\s*\n", p) if t.strip()]}
+                               for no, p in enumerate(pages, at) for t in re.split(r"\n\s*\n", p) if t.strip()]}
         return Answer(json.dumps(body, ensure_ascii=False), self.name, {"input_tokens": n, "output_tokens": len(json.dumps(body))})
 
 
@@ -134,16 +141,59 @@ def call_rows(requests: DataFrame, client: Callable[[], Proposer], required: tup
                 try:
                     got, answers = structured_call(own, json.loads(r), required, retries, repairs)
                     body = json.dumps(got, ensure_ascii=False)
-                except (Transient, Refused, Unusable) as e:
+                except (Transient, Refused, Unusable, Overflow) as e:
                     error = f"{type(e).__name__}: {e}"
-                used = [sum(a.usage[c] for a in answers if a.usage.get(c) is not None) if any(a.usage.get(c) is not None for a in answers) else None for c in COUNTERS]
-                rows.append((body, error, answers[-1].model if answers else None, *used))
+                rows.append((body, error, answers[-1].model if answers else None, *_used(answers)))
             out = pd.DataFrame(rows, columns=["body", "error", "model", *COUNTERS], index=b.index).astype({c: "Int64" for c in COUNTERS})
             yield pd.concat([b[keep], out], axis=1)
 
     return src.mapInPandas(run, schema)
 
 
+def _used(answers: list[Answer]) -> list[int | None]:
+    return [sum(v) if (v := [a.usage[c] for a in answers if a.usage.get(c) is not None]) else None for c in COUNTERS]
+
+
+SECTION_CALL = "sec_no int, first int, last int, context string"
+
+
+def call_sections(documents: DataFrame, client: Callable[[], Proposer], required: tuple[str, ...], key: str = "doc_id", settings: dict | None = None, retries: int = 2, repairs: int = 1) -> DataFrame:
+    """One call per section with the whole document in the request: (key, sec_no, off, body, error, model and counters).
+
+    `documents`: key, pages array<string>, sections array<struct<SECTION_CALL>>. A document's calls run one after the
+    other, so that its text is held once and the first call warms a prompt cache. If a request overflows, the
+    document goes on in sliced mode, each section with its own pages; `off` is what to add to an answer's pages."""
+    src = documents.select(key, "pages", F.to_json("sections").alias("__s"))
+    schema = f"`{key}` {src.schema[key].dataType.simpleString()}, sec_no int, off int, body string, error string, model string, " + ", ".join(f"{c} bigint" for c in COUNTERS)
+    columns = [key, "sec_no", "off", "body", "error", "model", *COUNTERS]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = client()
+        for b in batches:
+            for name, pages, sections in zip(b[key], b["pages"], b["__s"], strict=True):
+                rows, full, pages = [], True, list(pages)
+                for s in json.loads(sections):
+                    body, error, answers = None, None, []
+                    while True:
+                        shown = pages if full else pages[s["first"] - 1 : s["last"]]
+                        request = {"kind": "chunks", "id": f"{name}:{s['sec_no']}", "mode": "full" if full else "sliced", "first": s["first"], "last": s["last"], "context": s.get("context"), "pages": shown} | (settings or {})
+                        try:
+                            got, answers = structured_call(own, request, required, retries, repairs)
+                            body = json.dumps(got, ensure_ascii=False)
+                        except Overflow as e:
+                            if full:
+                                full = False
+                                continue
+                            error = f"{type(e).__name__}: {e}"
+                        except (Transient, Refused, Unusable) as e:
+                            error = f"{type(e).__name__}: {e}"
+                        break
+                    rows.append((name, s["sec_no"], 0 if full else s["first"] - 1, body, error, answers[-1].model if answers else None, *_used(answers)))
+                yield pd.DataFrame(rows, columns=columns).astype({c: "Int64" for c in COUNTERS})
+
+    return src.mapInPandas(run, schema)
+
+
 def mode(pages: Column, encoded_bytes: Column, budget: int, most_pages: int = 100) -> Column:
     """'full' where the whole document fits one request, else 'sliced'."""
     return F.when((pages <= most_pages) & (encoded_bytes <= budget), "full").otherwise("sliced")

@@ -10,29 +10,47 @@ from pyspark.sql import functions as F
 
 from pagewright.config import EngineConfig
 from pagewright.functions import text as T
+from pagewright.functions.counters import choose_counter
 from pagewright.operators import chunks as C
 from pagewright.operators import fidelity as Q
 from pagewright.operators import grounding as G
 from pagewright.operators import outline as O
 from pagewright.operators import pages as P
-from pagewright.operators.model_call import COUNTERS, Proposer, RuleProposer, call_rows
+from pagewright.operators.curate import completed_prefix, resume_plan
+from pagewright.operators.model_call import COUNTERS, Proposer, RuleProposer, call_rows, call_sections, mode
 from pagewright.schemas import OUTLINE, RAW_CHUNK
 from pagewright.session import materialize
 
 
 @dataclass
 class RunResult:
+    """The tables of a run. `fidelity` scores documents, `section_scores` sections, `flags` are the chunks with text that
+    isn't on their pages, `hints` where their lines stand; without scoring these are None. `profiles` holds the
+    sections, terms, references and dates of each document."""
+
     profiles: DataFrame
     sections: DataFrame
     chunks: DataFrame
     usage: DataFrame
-    fidelity: DataFrame
+    fidelity: DataFrame | None = None
+    section_scores: DataFrame | None = None
+    flags: DataFrame | None = None
+    hints: DataFrame | None = None
+
 
+def _limited(requests: DataFrame, most: int | None) -> DataFrame:
+    return requests.repartition(most) if most else requests
 
-def _request(pages: DataFrame, ranges: DataFrame, kind: str, keys: list[str]) -> DataFrame:
-    """One request per range with its pages in order."""
-    p = P.slice_pages(pages, ranges).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("page_no", "text"))).alias("a"))
-    body = F.struct(F.lit(kind).alias("kind"), F.concat_ws(":", *keys).alias("id"), F.transform("a", lambda x: x["text"]).alias("pages"))
+
+def _request(pages: DataFrame, ranges: DataFrame, kind: str, keys: list[str], more: list[str], config: EngineConfig) -> DataFrame:
+    """One request per range with its pages in order; `more` are columns of `ranges` that it holds too."""
+    p = P.slice_pages(pages, ranges.select("doc_id", *[c for c in keys if c != "doc_id"], "page_start", "page_end"))
+    p = p.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("page_no", "text"))).alias("a"))
+    p = p.join(ranges.select(*keys, *more), keys) if more else p
+    body = F.struct(
+        F.lit(kind).alias("kind"), F.concat_ws(":", *keys).alias("id"), F.lit("sliced").alias("mode"), *more, F.lit(config.max_output_tokens).alias("max_output_tokens"),
+        F.transform("a", lambda x: x["text"]).alias("pages"),
+    )
     return p.select(*keys, F.to_json(body).alias("request"))
 
 
@@ -57,7 +75,7 @@ def analyze(pages: DataFrame, config: EngineConfig = EngineConfig(), client: Cal
     docs = pages.groupBy("doc_id").agg(F.max("page_no").alias("page_count"))
     batches = P.iter_batches(pages, docs, config.max_request_bytes, config.max_pages_per_batch, config.batch_overlap_pages)
     batches = batches.select("doc_id", "slice_start", (F.col("batch_no") * 1000 + F.col("slice_no")).alias("batch"), F.col("slice_start").alias("page_start"), F.col("slice_end").alias("page_end"))
-    req = _request(pages, batches, "outline", ["doc_id", "batch", "slice_start"])
+    req = _limited(_request(pages, batches, "outline", ["doc_id", "batch", "slice_start"], [], config), config.outline_concurrency)
     called = materialize(call_rows(req, client, ("sections",), ["doc_id", "batch", "slice_start"], retries=config.max_transient_retries, repairs=config.max_repair_attempts), "outline")
     parts = called.withColumn("o", F.from_json("body", OUTLINE))
     s = parts.select("doc_id", "batch", (F.col("slice_start") - 1).alias("off"), F.posexplode("o.sections").alias("pos", "s"))
@@ -76,32 +94,120 @@ def analyze(pages: DataFrame, config: EngineConfig = EngineConfig(), client: Cal
     return docs.join(first, "doc_id", "left"), materialize(sections, "sections"), called.select("model", *COUNTERS)
 
 
-def chunk(pages: DataFrame, sections: DataFrame, config: EngineConfig = EngineConfig(), client: Callable[[], Proposer] = RuleProposer) -> tuple[DataFrame, DataFrame]:
-    """(chunks, usage) of the given sections."""
-    req = _request(pages, sections.select("doc_id", "sec_no", "page_start", "page_end"), "chunks", ["doc_id", "sec_no"])
-    called = materialize(call_rows(req, client, ("chunks",), ["doc_id", "sec_no"], retries=config.max_transient_retries, repairs=config.max_repair_attempts), "chunks")
+def _section_calls(pages: DataFrame, sections: DataFrame, profiles: DataFrame | None, config: EngineConfig, client: Callable[[], Proposer]) -> DataFrame:
+    """The answers (doc_id, sec_no, off, body, ...) for all sections: whole documents where they fit a request, slices
+    else; the context block comes with every request if there are profiles."""
+    s = sections.select("doc_id", "sec_no", "page_start", "page_end")
+    sizing = F.lit(f"Aim at {config.pack_target} tokens a chunk, {config.max_tokens} at most.")
+    context = sizing
+    if profiles is not None:
+        terms = profiles.select("doc_id", F.posexplode("glossary").alias("term_ord", "g")).select("doc_id", "term_ord", "g.*")
+        outline = sections.select("doc_id", F.col("sec_no").alias("section_id"), F.col("sec_no").alias("sec_ord"), "title", "section_type", "summary")
+        c = context_blocks(profiles.select("doc_id", "title", "doc_type", "plan_name", "sponsor", "effective_dates"), outline, terms)
+        s = s.join(c.withColumnRenamed("section_id", "sec_no"), ["doc_id", "sec_no"], "left")
+        context = F.concat_ws("\n\n", "context", sizing)
+    size = pages.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum(T.encoded_size(F.octet_length("text"))).alias("b"))
+    modes = size.select("doc_id", mode(F.col("n"), F.coalesce("b", F.lit(0)), config.max_request_bytes, config.full_document_pages).alias("mode"))
+    s = materialize(s.withColumn("context", context).join(modes, "doc_id"), "section-calls")
+    tries = {"retries": config.max_transient_retries, "repairs": config.max_repair_attempts}
+    whole = s.where("mode = 'full'")
+    lists = whole.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("sec_no", F.col("page_start").alias("first"), F.col("page_end").alias("last"), "context"))).alias("sections"))
+    docs = pages.join(modes.where("mode = 'full'"), "doc_id").groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("page_no", "text"))), lambda x: x["text"]).alias("pages"))
+    full = call_sections(_limited(docs.join(lists, "doc_id"), config.chunk_concurrency), client, ("chunks",), settings={"max_output_tokens": config.max_output_tokens}, **tries)
+    cut = s.where("mode = 'sliced'")
+    req = _limited(_request(pages, cut, "chunks", ["doc_id", "sec_no"], ["context"], config), config.chunk_concurrency)
+    sliced = call_rows(req, client, ("chunks",), ["doc_id", "sec_no"], **tries).join(cut.select("doc_id", "sec_no", (F.col("page_start") - 1).alias("off")), ["doc_id", "sec_no"])
+    return materialize(full.unionByName(sliced), "chunks")
+
+
+def chunk(
+    pages: DataFrame,
+    sections: DataFrame,
+    config: EngineConfig = EngineConfig(),
+    client: Callable[[], Proposer] = RuleProposer,
+    profiles: DataFrame | None = None,
+    done: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(chunks, usage) of the given sections. `done` are the chunks of an interrupted run: those of the sections before
+    the first without any are kept and numbered first, and only the other sections are called for."""
+    kept, todo = None, sections
+    if done is not None:
+        done = done.where("section_title is not null")
+        named = sections.select("doc_id", F.coalesce("title", F.lit("")).alias("title"), F.col("sec_no").alias("ord"))
+        prefix = completed_prefix(named, done, "doc_id")
+        kept = materialize(resume_plan(named, done, "doc_id"), "kept")
+        todo = sections.join(prefix, "doc_id").where("sec_no >= done").drop("done")
+    called = _section_calls(pages, todo, profiles, config, client)
     raw = called.withColumn("c", F.from_json("body", "chunks array<" + RAW_CHUNK.simpleString() + ">"))
-    raw = raw.select("doc_id", "sec_no", F.posexplode("c.chunks").alias("ord", "c")).select("doc_id", "sec_no", "ord", "c.*").where("text is not null")
+    raw = raw.select("doc_id", "sec_no", "off", F.posexplode("c.chunks").alias("ord", "c")).select("doc_id", "sec_no", "off", "ord", "c.*").where("text is not null")
     sec = sections.select("doc_id", "sec_no", "section_type", F.col("page_start").alias("sec_start"), F.col("page_end").alias("sec_end"))
-    raw = raw.join(sec, ["doc_id", "sec_no"]).withColumn("off", F.col("sec_start") - 1)
+    raw = raw.join(sec, ["doc_id", "sec_no"])
     raw = C.normalize_chunk_pages(raw, "off", "sec_start", "sec_end")
     raw = C.dedupe_raw_chunks(C.clean_raw_chunks(raw), ["doc_id", "sec_no"])
     raw = raw.withColumn("chunk_id", F.struct("sec_no", "ord"))
     raw = G.ground_chunks(raw, pages).drop("chunk_id")
-    done = C.assemble_chunks(raw, "doc_id", "sec_no", "ord", config.max_tokens, config.target_tokens)
+    start: int | str = 0
+    if kept is not None:
+        n = kept.groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("start_index"))
+        raw, start = raw.join(n, "doc_id", "left").na.fill(0, ["start_index"]), "start_index"
+    out = C.assemble_chunks(raw, "doc_id", "sec_no", "ord", config.max_tokens, config.target_tokens, start, counter=choose_counter(config.tokenizer_path))
     titles = sections.select("doc_id", "sec_no", F.col("title").alias("section_title"), "section_type", F.col("summary").alias("section_summary"))
-    return done.join(titles, ["doc_id", "sec_no"]), called.select("model", *COUNTERS)
+    out = out.join(titles, ["doc_id", "sec_no"]).drop("start_index")
+    if kept is not None:
+        have = titles.groupBy("doc_id", "section_title").agg(F.min("sec_no").alias("sec_no"))
+        out = out.unionByName(kept.drop("sec_no").join(have, ["doc_id", "section_title"], "left"), allowMissingColumns=True)
+    return out, called.select("model", *COUNTERS)
+
+
+def scores(pages: DataFrame, profiles: DataFrame, sections: DataFrame, chunks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(documents, sections, flags, hints): coverage and novelty of documents and sections with their warnings, and the
+    chunks and lines that aren't on their pages. Documents with too thin a text layer are 'skipped'."""
+    gate = materialize(Q.scan_gate(pages), "gate")
+    ok = gate.where("status = 'ok'").select("doc_id")
+    read = pages.join(ok, "doc_id", "left_semi")
+    documents = gate.join(Q.score(Q.bag(read, ["doc_id"]), Q.bag(chunks, ["doc_id"]), ["doc_id"], profiles), "doc_id", "left")
+    shared = O.shared_pages(sections.join(ok, "doc_id", "left_semi")).select("doc_id", "sec_no", "title", "section_type", "page_start", "page_end", "shared")
+    per = Q.score_sections(shared, chunks, read).join(shared.select("doc_id", "sec_no", "section_type", "shared"), ["doc_id", "sec_no"])
+    unmapped = sections.where("section_type = 'unmapped'").select("doc_id", F.col("title").alias("section_title")).distinct()
+    c = Q.scored_chunks(chunks.withColumn("chunk_id", F.col("chunk_index")), unmapped).join(ok, "doc_id", "left_semi")
+    flags = Q.novelty_flags(c, read)
+    hints = Q.locate_lines(Q.line_counts(c, ["doc_id", "chunk_id"]), Q.novel_lines(c, read), read)
+    return documents, Q.warnings(per), flags.withColumnRenamed("chunk_id", "chunk_index"), hints.withColumnRenamed("chunk_id", "chunk_index")
+
+
+def run(
+    pages: DataFrame,
+    config: EngineConfig = EngineConfig(),
+    client: Callable[[], Proposer] = RuleProposer,
+    resume: tuple[DataFrame, DataFrame, DataFrame] | None = None,
+    fidelity: bool = True,
+) -> RunResult:
+    """Outline, chunks, usage and scores of every document. `resume` are the profiles, sections and chunks of an
+    interrupted run: its maps are used again and its finished sections aren't called for."""
+    if resume is None:
+        profiles, sections, used = analyze(pages, config, client)
+        chunks, more = chunk(pages, sections, config, client, profiles)
+        used = used.unionByName(more)
+    else:
+        profiles, sections, done = resume
+        chunks, used = chunk(pages, sections, config, client, profiles, done)
+    chunks = materialize(chunks, "chunks-out")
+    maps = profiles.drop("sections").join(section_lists(sections), "doc_id", "left")
+    if not fidelity:
+        return RunResult(maps, sections, chunks, used)
+    return RunResult(maps, sections, chunks, used, *scores(pages, profiles, sections, chunks))
 
 
-def run(pages: DataFrame, config: EngineConfig = EngineConfig(), client: Callable[[], Proposer] = RuleProposer) -> RunResult:
-    """Outline, chunks, usage and document scores of every document."""
-    profiles, sections, used = analyze(pages, config, client)
-    chunks, more = chunk(pages, sections, config, client)
-    chunks = materialize(chunks, "chunks-out")
-    gate = Q.scan_gate(pages)
-    score = Q.score(Q.bag(pages, ["doc_id"]), Q.bag(chunks, ["doc_id"]), ["doc_id"], profiles)
-    fidelity = gate.join(score, "doc_id", "left")
-    return RunResult(profiles, sections, chunks, used.unionByName(more), fidelity)
+def section_lists(sections: DataFrame) -> DataFrame:
+    """(doc_id, sections): each document's sections in order."""
+    one = F.struct("title", "section_type", "summary", "page_start", "page_end").alias("s")
+    return sections.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("sec_no", one))), lambda x: x["s"]).alias("sections"))
+
+
+def resumed(profiles: DataFrame, chunks: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The state of an interrupted run from its written profiles and chunk lines."""
+    s = profiles.select(key, F.posexplode("sections").alias("sec_no", "s")).select(key, "sec_no", "s.*")
+    return profiles, s, chunks
 
 
 def pages_of_text(docs: DataFrame, lines: int = 40) -> DataFrame:

@@ -67,8 +67,9 @@ def read_raw_chunks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_profiles(spark: SparkSession, path: str) -> DataFrame:
-    """Document maps, one JSON document per file, with the defaults of missing fields."""
-    p = spark.read.option("multiLine", True).schema(PROFILE).json(path)
+    """Document maps, JSON documents with a blank line between them, with the defaults of missing fields."""
+    t = spark.read.text(path, wholetext=True).select(F.explode(F.split("value", r"(?<=\})\s*\n\s*\n(?=\s*\{)")).alias("v")).where("trim(v) <> ''")
+    p = t.select(F.from_json("v", PROFILE).alias("p")).select("p.*")
     p = p.na.fill({"doc_type": "unknown", "page_count": 0} | {f: "" for f in ("source_file", "title", "plan_name", "sponsor", "notes")})
     for f in ("effective_dates", "cross_references"):
         p = p.withColumn(f, F.coalesce(f, F.array().cast("array<string>")))

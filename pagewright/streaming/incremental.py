@@ -20,6 +20,13 @@ def watch(spark: SparkSession, folder: str, schema: StructType, most_files: int
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", most_files).json(folder)
 
 
+def watch_documents(spark: SparkSession, folder: str, most_files: int = 100) -> DataFrame:
+    """(source_file, n_bytes, content) of the documents that arrive in `folder`."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    d = spark.readStream.format("binaryFile").schema(schema).option("maxFilesPerTrigger", most_files).load(folder)
+    return d.select(F.element_at(F.split("path", "/"), -1).alias("source_file"), F.col("length").alias("n_bytes"), "content")
+
+
 def emit(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Write `transform` of every batch to its own partition of `out`. A batch that runs again after a
     failure replaces its partition, so results are exactly once."""

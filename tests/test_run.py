@@ -33,6 +33,54 @@ def test_pipeline_covers_the_source(spark):
     assert [x.chunk_index for x in r.chunks.where("doc_id = 1").orderBy("chunk_index").collect()] == list(range(r.chunks.where("doc_id = 1").count()))
 
 
+def recording(overflow=False):
+    """The rule proposer; shows its request in the keywords, and overflows on whole documents if told to."""
+
+    class Recording:
+        def propose(self, request, repair=None):
+            if overflow and request.get("mode") == "full":
+                raise M.Overflow("too long")
+            body = M.RuleProposer().propose(request)
+            parsed = json.loads(body.body)
+            for c in parsed.get("chunks", []):
+                c["keywords"] = [request["mode"], f"context {'CURRENT SECTION' in request['context']}", f"sizing {'tokens a chunk' in request['context']}"]
+            return M.Answer(json.dumps(parsed), "rules", body.usage)
+
+    return Recording
+
+
+def test_modes_context_and_downgrade(spark):
+    from pagewright.config import EngineConfig
+
+    pages = spark.createDataFrame([(1, n, f"SECTION {n} RULES\nMembers of group {n} may join.") for n in range(1, 4)], "doc_id int, page_no int, text string")
+    want = None
+    for config, client, shown in (
+        (EngineConfig(), recording(), "full"),
+        (EngineConfig(full_document_pages=2), recording(), "sliced"),
+        (EngineConfig(), recording(True), "sliced"),
+    ):
+        profiles, sections, _ = pipeline.analyze(pages, config)
+        c, used = pipeline.chunk(pages, sections, config, client, profiles)
+        got = c.collect()
+        rows = sorted((r.chunk_index, r.text, r.page_start, r.page_end) for r in got)
+        assert {tuple(r.keywords) for r in got} == {(shown, "context True", "sizing True")}
+        assert want in (None, rows) and used.count() == sections.count()
+        want = rows
+
+
+def test_interrupted_runs_go_on(spark):
+    pages = spark.createDataFrame([(d, n, f"SECTION {n} RULES\nMembers of group {n} of {d} may join the plan.") for d in (1, 2) for n in range(1, 5)], "doc_id int, page_no int, text string")
+    r = pipeline.run(pages)
+    whole = sorted((x.doc_id, x.chunk_index, x.section_title, x.text) for x in r.chunks.collect())
+    titles = {x.sec_no: x.title for x in r.sections.where("doc_id = 1").collect()}
+    kept = r.chunks.where((F.col("doc_id") == 1) & (F.col("section_title") != titles[2]))  # the last section's chunks are stale
+    again = pipeline.run(pages, resume=(r.profiles, r.sections, kept))
+    assert sorted((x.doc_id, x.chunk_index, x.section_title, x.text) for x in again.chunks.collect()) == whole
+    assert again.usage.count() == 4 + 2
+    assert again.section_scores.count() == r.sections.count() and again.flags.count() == again.hints.count() == 0
+    assert {x.status for x in again.fidelity.collect()} <= {"ok", "skipped"}
+
+
 def test_lists_of_all_partial_maps_reach_the_profiles(spark, tmp_path):
     from pagewright.config import EngineConfig
 
@@ -99,11 +147,20 @@ def test_command_line(spark, tmp_path):
 
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "a.txt").write_text("RULES OF THE PLAN\nMembers join at work.\fCLAIMS TO FILE\nSend claims.")
+    (tmp_path / "d" / "b.txt").write_text("RULES OF THE FUND\nMembers pay at work.\fHOW TO APPEAL\nSend a letter.")
     assert main(["chunk", str(tmp_path / "d"), "--plain", "--out", str(tmp_path / "o")]) == 0
     chunks = readers.read_chunks(spark, str(tmp_path / "o/chunks"))
-    assert chunks.count() >= 1
+    before = [(r.source_file, r.chunk_index, r.text) for r in chunks.collect()]
+    assert len(before) >= 2
     assert main(["view", str(tmp_path / "o/chunks"), "--out", str(tmp_path / "v.html")]) == 0
     assert main(["analyze", str(tmp_path / "d"), "--plain", "--out", str(tmp_path / "p")]) == 0
+    assert {r.source_file for r in readers.read_chunks(spark, str(tmp_path / "o/chunks")).collect()} == {"a.txt", "b.txt"}
+    assert all(len(r.sections) > 0 for r in readers.read_profiles(spark, str(tmp_path / "o/profiles")).collect())
+    assert main(["chunk", str(tmp_path / "d"), "--plain", "--out", str(tmp_path / "o"), "--resume", "--no-fidelity"]) == 0
+    assert sorted((r.source_file, r.chunk_index, r.text) for r in readers.read_chunks(spark, str(tmp_path / "o/chunks")).collect()) == sorted((r[0], r[1], r[2]) for r in before)
+    assert main(["fidelity", str(tmp_path / "d"), "--plain", "--chunks", str(tmp_path / "o/chunks"), "--profiles", str(tmp_path / "o/profiles"), "--out", str(tmp_path / "f")]) == 0
+    assert main(["serve", str(tmp_path / "d"), "--plain", "--out", str(tmp_path / "s"), "--checkpoint", str(tmp_path / "sc"), "--once"]) == 0
+    assert I.emitted(spark, str(tmp_path / "s")).count() == len(before)
     assert main(["export", "--profiles", str(tmp_path / "p/profiles"), "--chunks", str(tmp_path / "o/chunks"), "--out", str(tmp_path / "x")]) == 0
-    assert spark.read.parquet(str(tmp_path / "x/chunks")).count() == chunks.count()
-    assert json.dumps(1) == "1" and chunks.select(F.max("chunk_index")).first()[0] is not None
+    assert spark.read.parquet(str(tmp_path / "x/chunks")).count() == len(before)
+    assert spark.read.parquet(str(tmp_path / "x/documents")).count() == 2
