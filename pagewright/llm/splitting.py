@@ -125,14 +125,12 @@ def split_oversized(
     if most_units(limit) - (most_units(overlap) if overlap > 1 else 0) < 2:
         raise ValueError("limit must exceed the overlap by at least two units")
     d = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
-    # ids are counted, texts stay where they are; of a repeated id the smallest text is kept
-    d = once(d, "id", "text")
     kind = d.schema["id"].dataType.simpleString()
     most = most_units(limit)
     # a unit has at least one character, so a short text needs no counting
     maybe = F.length("text") > most
     size = F.when(maybe, text_size(F.col("text")))
-    big = d.where(maybe).withColumn("size", text_size(F.col("text"))).where(F.col("size") > limit).select("id", "text")
+    big = d.where(maybe).withColumn("size", text_size(F.col("text"))).where(F.col("size") > limit).dropDuplicates(["id"]).select("id", "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -147,7 +145,7 @@ def split_oversized(
     schema = f"id {kind}, piece_no int, n_pieces int, start bigint, own_start bigint, end bigint, size int, piece string"
     pieces = big.mapInPandas(run, schema)
     if not only_oversized:
-        small = d.where(~maybe | (size <= limit))
+        small = once(d.where(~maybe | (size <= limit)), "id", "text")  # ids are counted, texts stay where they are
         pieces = pieces.unionByName(
             small.select(
                 "id",
