@@ -12,7 +12,7 @@ from pagewright.operators import fidelity as Q
 from pagewright.operators.curate import usage_totals
 from pagewright.operators.model_call import COUNTERS, usage_summary
 from pagewright.plans import pipeline
-from pagewright.session import build_session, materialize
+from pagewright.session import build_session, materialize, release
 from pagewright.sources import readers, writers
 
 
@@ -130,6 +130,7 @@ def main(argv: list[str] | None = None) -> int:
         glo = key.select("doc_id", F.posexplode("glossary").alias("term_ord", "g")).select("doc_id", "term_ord", F.col("term_ord").alias("term_id"), "g.*")
         flat = key.drop("sections", "glossary")
         print(json.dumps(writers.write_export(a.out, rows, X.document_rows(flat, sec, glo, rows), X.glossary_rows(flat, glo))))
+    release(spark)
     return 0
 
 

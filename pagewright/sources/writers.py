@@ -47,7 +47,7 @@ def create_namespace(spark: SparkSession, name: str) -> None:
 
 
 def embed_json(value: object) -> str:
-    """JSON that is safe inside a script element."""
+    """JSON that is safe inside a script element (the two replacements are fixed values)."""
     return json.dumps(value, ensure_ascii=False).replace("</", "<\\/").replace("<!--", "<\\!--")
 
 
