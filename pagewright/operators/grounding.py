@@ -11,9 +11,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions import text as T
+from pagewright.session import materialize
 
 #: Chunk edges: length searched for, least key length, margin in pages.
 EDGE, EDGE_MIN_KEY, MARGIN = 40, 15, 3
+#: Pages that chunks meet at once, and most blocks of a window whose end isn't looked up.
+PAGE_BLOCK, FEW_BLOCKS = 16, 4
 #: Word fallback of chunks: most pages of a rare word, least rare words, least share, widest span, neighbour share.
 RARE_PAGES, RARE_WORDS, RARE_SHARE, MOST_SPAN, NEIGHBOUR = 3, 5, 0.5, 3, 0.25
 #: Titles: least key length, headings of an index page, characters at the top of a page, rare words.
@@ -69,45 +72,72 @@ def ground_sections(sections: DataFrame, pages: DataFrame, key: str = "doc_id",
     return d.withColumn("page_end", end).drop("__p", "__off", "__b")
 
 
-def _windows(chunks: DataFrame, last: DataFrame, key: str) -> DataFrame:
-    """Adds the narrow and the wide page window; chunks of documents without pages get empty ones."""
-    d = chunks.join(last, key, "left")
-    n = F.coalesce("__last", F.lit(0))
-    d = d.withColumn("__lo", F.greatest("sec_start", F.lit(1))).withColumn("__hi", F.least("sec_end", n))
-    return d.withColumn("__wlo", F.greatest(F.col("sec_start") - MARGIN, F.lit(1))).withColumn("__whi", F.least(F.col("sec_end") + MARGIN, n))
+def _page_blocks(chunks: DataFrame, pages: DataFrame, key: str) -> DataFrame:
+    """Adds the narrow (lo, hi) and the wide (wlo, whi) page window, and opens the wide one into the blocks of
+    PAGE_BLOCK pages that it touches. Only windows of many blocks, or without an end, are cut at the last page first."""
+    lo, hi = F.greatest(F.col("sec_start").cast("bigint"), F.lit(1)), F.col("sec_end").cast("bigint")
+    d = chunks.withColumn("lo", lo).withColumn("hi", hi).withColumn("wlo", F.greatest(F.col("sec_start").cast("bigint") - MARGIN, F.lit(1)))
+    d = d.withColumn("whi", hi + MARGIN).drop("sec_start", "sec_end")
+    few = F.coalesce(F.col("whi") - F.col("wlo") < FEW_BLOCKS * PAGE_BLOCK, F.lit(False))
+    last = pages.groupBy(key).agg(F.max("page_no").cast("bigint").alias("last"))
+    cut = d.where(~few).join(last, key).withColumn("hi", F.least("hi", "last")).withColumn("whi", F.least("whi", "last")).drop("last")
+    d = d.where(few).unionByName(cut).where("wlo <= whi")
+    return d.withColumn("block", F.explode(F.sequence(_block(F.col("wlo")), _block(F.col("whi")))))
 
 
-def _last_pages(pages: DataFrame, key: str) -> DataFrame:
-    return pages.groupBy(key).agg(F.max("page_no").alias("__last"))
+def _block(page_no: Column) -> Column:
+    return F.floor(page_no / F.lit(PAGE_BLOCK)).cast("bigint")
+
+
+def _rare_pages(pages: DataFrame, key: str) -> DataFrame:
+    """(key, word, on): the pages of each word that stands on at most RARE_PAGES = 3 of its document. Up to three
+    different numbers follow from their least, greatest and sum, so no list is gathered for the common words."""
+    p = F.col("page_no").cast("bigint")
+    g = page_words(pages, key, 4).groupBy(key, "word").agg(F.count(F.lit(1)).alias("df"), F.min(p).alias("lo"), F.max(p).alias("hi"), F.sum(p).alias("sum"))
+    on = F.when(F.col("df") < RARE_PAGES, F.array("lo", "hi")).otherwise(F.array("lo", F.col("sum") - F.col("lo") - F.col("hi"), "hi"))
+    return g.where(F.col("df") <= RARE_PAGES).select(key, "word", F.array_distinct(on).cast("array<int>").alias("on"))
+
+
+def _let(value: Column, use) -> Column:
+    """use(value) with `value` evaluated once, however often it is used; the optimizer can't inline it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _run(on: str) -> Column:
+    """The run of pages that the words point to, as an array of one struct or none; `on` holds the pages of each word."""
+
+    def around(s: Column, best: Column) -> Column:
+        p, least = best["p"], F.greatest(F.lit(1), F.floor(-best["m"] * NEIGHBOUR).cast("int"))
+        ok = {k: F.coalesce(s[p + k] >= least, F.lit(False)) for k in (-2, -1, 1, 2)}
+        left = F.when(ok[-1] & ok[-2], 2).when(ok[-1], 1).otherwise(0)
+        room = F.lit(MOST_SPAN - 1) - left
+        right = F.when((room >= 2) & ok[1] & ok[2], 2).when((room >= 1) & ok[1], 1).otherwise(0)
+        return F.struct((p - left).alias("span_start"), (p + right).alias("span_end"))
+
+    # the words on a page: from its place in the sorted list to the place of the next
+    places = lambda a, p: F.transform(p, lambda x: F.array_position(a, x).cast("int"))
+    counts = lambda a, at: F.transform(at, lambda x, i: F.coalesce(F.get(at, i + 1), F.size(a) + 1) - x)
+    scores = lambda a: _let(F.array_distinct(a), lambda p: F.map_from_arrays(p, _let(places(a, p), lambda at: counts(a, at))))
+    best = lambda s: F.array_min(F.transform(F.map_entries(s), lambda e: F.struct((-e["value"]).alias("m"), e["key"].alias("p"))))
+    run = _let(_let(F.array_sort(F.flatten(on)), scores), lambda s: _let(best(s), lambda b: around(s, b)))
+    inside = lambda r: F.size(F.filter(on, lambda o: F.exists(o, lambda x: x.between(r["span_start"], r["span_end"]))))
+    return F.filter(F.array(run), lambda r: r["span_start"].isNotNull() & (inside(r) / F.size(on) >= RARE_SHARE))
 
 
 def locate_by_words(chunks: DataFrame, pages: DataFrame, key: str = "doc_id", ident: str = "chunk_id") -> DataFrame:
     """(key, ident, span_start, span_end) of the chunks whose rare words point to a run of at most three
-    pages. `chunks` has text, sec_start and sec_end; chunks without a clear run give no row."""
-    d = _windows(chunks, _last_pages(pages, key), key).where("__wlo <= __whi")
-    pw = page_words(pages, key, 4)
-    rare = pw.groupBy(key, "word").agg(F.collect_list("page_no").alias("on"), F.count(F.lit(1)).alias("df")).where(F.col("df") <= RARE_PAGES)
-    words = d.select(key, ident, "__wlo", "__whi", F.explode_outer(F.array_distinct(T.words(F.col("text"), 4))).alias("word")).where("word is not null")
-    words = words.join(rare.select(key, "word", "on"), [key, "word"])
-    # at most three pages per word, so the opened rows stay in proportion to the words
-    on = words.select(key, ident, "word", F.explode("on").alias("page_no"), "__wlo", "__whi").where(F.col("page_no").between(F.col("__wlo"), F.col("__whi")))
-    scores = on.groupBy(key, ident, "page_no").agg(F.count(F.lit(1)).cast("int").alias("m"))
-    per = scores.groupBy(key, ident).agg(
-        F.min(F.struct((-F.col("m")).alias("m"), F.col("page_no").alias("p"))).alias("b"),
-        F.map_from_entries(F.collect_list(F.struct("page_no", "m"))).alias("s"),
-    )
-    total = words.groupBy(key, ident).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= RARE_WORDS)
-    per = per.join(total, [key, ident])
-    per = per.select(key, ident, "n", "s", F.col("b.p").alias("p"), F.greatest(F.lit(1), F.floor(-F.col("b.m") * NEIGHBOUR).cast("int")).alias("f"))
-    ok = {k: F.coalesce(F.col("s")[F.col("p") + k] >= F.col("f"), F.lit(False)) for k in (-2, -1, 1, 2)}
-    per = per.withColumn("l", F.when(ok[-1] & ok[-2], 2).when(ok[-1], 1).otherwise(0))
-    room = F.lit(MOST_SPAN - 1) - F.col("l")
-    right = F.when((room >= 2) & ok[1] & ok[2], 2).when((room >= 1) & ok[1], 1).otherwise(0)
-    per = per.select(key, ident, "n", (F.col("p") - F.col("l")).alias("a"), (F.col("p") + right).alias("z"))
-    inside = on.join(per, [key, ident]).where(F.col("page_no").between(F.col("a"), F.col("z")))
-    covered = inside.groupBy(key, ident, "n", "a", "z", "word").agg(F.lit(1).alias("one")).groupBy(key, ident, "n", "a", "z").agg(F.count(F.lit(1)).alias("c"))
-    covered = covered.where(F.col("c") / F.col("n") >= RARE_SHARE)
-    return covered.select(key, ident, F.col("a").alias("span_start"), F.col("z").alias("span_end"))
+    pages. `chunks` has text, sec_start and sec_end; chunks without a clear run give no row.
+
+    The words of chunks and pages meet once; what follows is one group per chunk, of at most three pages for
+    each of its words."""
+    lo, hi = F.greatest(F.col("sec_start").cast("bigint") - MARGIN, F.lit(1)), F.col("sec_end").cast("bigint") + MARGIN
+    words = chunks.select(key, ident, lo.alias("lo"), hi.alias("hi"), F.array_distinct(T.words(F.col("text"), 4)).alias("w"))
+    words = words.select(key, ident, "lo", "hi", F.explode_outer(F.when(F.size("w") >= RARE_WORDS, F.col("w"))).alias("word")).where("word is not null")
+    words = words.join(_rare_pages(pages, key), [key, "word"])
+    near = F.filter("on", lambda x: (x >= F.col("lo")) & F.coalesce(x <= F.col("hi"), F.lit(True)))
+    per = words.select(key, ident, near.alias("on")).repartition(key, ident).groupBy(key, ident).agg(F.collect_list("on").alias("on")).where(F.size("on") >= RARE_WORDS)
+    # one outer generator: neither a filter nor a projection on it evaluates the run again
+    return per.select(key, ident, F.explode_outer(_run("on")).alias("r")).where("r is not null").select(key, ident, "r.span_start", "r.span_end")
 
 
 def ground_chunks(chunks: DataFrame, pages: DataFrame, key: str = "doc_id", ident: str = "chunk_id", by_words: bool = True) -> DataFrame:
@@ -117,14 +147,11 @@ def ground_chunks(chunks: DataFrame, pages: DataFrame, key: str = "doc_id", iden
     digits of a chunk are looked for on its section's pages, and within three pages around where they
     stand on none of them; only a single page counts. Where neither is found, rare words decide.
     Texts of fewer than 15 letters and digits and contradictory finds leave the range as it is."""
-    k = T.match_key(F.col("text"))
-    d = _windows(chunks.withColumn("__k", k), _last_pages(pages, key), key)
-    needle = d.where((F.length("__k") >= EDGE_MIN_KEY) & (F.col("__wlo") <= F.col("__whi"))).select(
-        key, ident, F.substring("__k", 1, EDGE).alias("a"), F.right("__k", F.lit(EDGE)).alias("z"), "__lo", "__hi",
-        F.explode(F.sequence("__wlo", "__whi")).alias("page_no"),
-    )
-    j = needle.join(pages.select(key, "page_no", T.match_key(F.col("text")).alias("pk")), [key, "page_no"])
-    near = F.col("page_no").between(F.col("__lo"), F.col("__hi"))
+    needle = chunks.select(key, ident, "sec_start", "sec_end", T.match_key(F.col("text")).alias("k")).where(F.length("k") >= EDGE_MIN_KEY)
+    needle = needle.select(key, ident, "sec_start", "sec_end", F.substring("k", 1, EDGE).alias("a"), F.right("k", F.lit(EDGE)).alias("z"))
+    keyed = pages.select(key, _block(F.col("page_no")).alias("block"), "page_no", T.match_key(F.col("text")).alias("pk"))
+    j = _page_blocks(needle, pages, key).join(keyed, [key, "block"]).where(F.col("page_no").between(F.col("wlo"), F.col("whi")))
+    near = (F.col("page_no") >= F.col("lo")) & F.coalesce(F.col("page_no") <= F.col("hi"), F.lit(True))
     edges = []
     for name in ("a", "z"):
         hit = F.contains("pk", F.col(name))
@@ -136,14 +163,15 @@ def ground_chunks(chunks: DataFrame, pages: DataFrame, key: str = "doc_id", iden
         ]
     e = j.groupBy(key, ident).agg(*edges)
     pick = lambda c: F.when(F.col(f"{c}n") == 1, F.col(f"{c}pn")).when((F.col(f"{c}n") == 0) & (F.col(f"{c}w") == 1), F.col(f"{c}pw"))
-    e = e.select(key, ident, pick("a").alias("ps"), pick("z").alias("pe"))
-    d = d.drop("__lo", "__hi", "__wlo", "__whi", "__last").join(e, [key, ident], "left")
+    e = materialize(e.select(key, ident, pick("a").alias("ps"), pick("z").alias("pe")), "edges")
+    found = e.where("ps is not null or pe is not null")
     if by_words:
-        lost = d.where(F.col("ps").isNull() & F.col("pe").isNull() & (F.length("__k") >= EDGE_MIN_KEY))
-        spans = locate_by_words(lost.select(key, ident, "text", "sec_start", "sec_end"), pages, key, ident)
-        d = d.join(spans, [key, ident], "left")
-        d = d.withColumn("ps", F.coalesce("ps", F.when(F.col("pe").isNull(), F.col("span_start"))))
-        d = d.withColumn("pe", F.coalesce("pe", F.when(F.col("span_end").isNotNull(), F.col("span_end")))).drop("span_start", "span_end")
+        # written, so that the texts of few lost chunks meet a broadcast; chunks without a page in their window aren't in it
+        lost = materialize(e.where("ps is null and pe is null").select(key, ident), "lost-chunks")
+        texts = chunks.select(key, ident, "text", "sec_start", "sec_end").join(lost, [key, ident], "left_semi")
+        spans = locate_by_words(texts, pages.join(lost.select(key).distinct(), key, "left_semi"), key, ident)
+        found = found.unionByName(spans.select(key, ident, F.col("span_start").alias("ps"), F.col("span_end").alias("pe")))
+    d = chunks.join(found, [key, ident], "left")
     against = F.coalesce(F.col("ps") > F.col("pe"), F.lit(False))
     d = d.withColumn("__s", F.when(against, F.col("page_start")).otherwise(F.coalesce("ps", "page_start")))
     d = d.withColumn("__e", F.when(against, F.col("page_end")).otherwise(F.coalesce("pe", "page_end")))
@@ -151,4 +179,4 @@ def ground_chunks(chunks: DataFrame, pages: DataFrame, key: str = "doc_id", iden
     start = F.when(wrong & F.col("ps").isNull() & F.col("pe").isNotNull(), F.col("pe")).otherwise(F.col("__s"))
     end = F.when(wrong & F.col("ps").isNotNull(), F.col("ps")).otherwise(F.col("__e"))
     d = d.withColumn("page_start", start).withColumn("page_end", end)
-    return d.drop("__k", "__s", "__e", "ps", "pe")
+    return d.drop("__s", "__e", "ps", "pe")

@@ -179,3 +179,30 @@ def test_chunks_of_two_files_with_the_same_numbers(spark):
     got = X.chunk_rows(p, c).collect()
     assert sorted((r.source_file, r.text, r.n_copies) for r in got) == [("a.pdf", "x", 2), ("a.pdf", "y", 1), ("b.pdf", "x", 1), ("b.pdf", "z", 1)]
     assert len({r.id for r in got}) == 4
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_words_of_chunks_meet_pages_once(spark):
+    """The driver's memory follows the size of the plan: one join of words, one group per chunk."""
+    lines = ["orchid basil clover damask elderberry", "falcon garnet heather indigo juniper", "kestrel lavender marigold nutmeg orchid"]
+    pages = spark.createDataFrame([(1, i + 1, x) for i, x in enumerate(lines)], "doc_id int, page_no int, text string")
+    c = spark.createDataFrame([(1, i, x, 1, None if i else 3) for i, x in enumerate(lines)], "doc_id int, chunk_id int, text string, sec_start int, sec_end int")
+    d = G.locate_by_words(c, pages)
+    assert sorted(map(tuple, d.select("chunk_id", "span_start", "span_end").collect())) == [(0, 1, 1), (1, 2, 2), (2, 3, 3)]
+    assert _exchanges(d) <= 4
+
+
+def test_chunk_grounding_has_a_small_plan(spark):
+    """Edges and lost chunks are written once; before, the plan held both searches for each of their uses."""
+    pages = spark.createDataFrame([(1, n, f"Only page {n} holds the words number {n} of this document.") for n in range(1, 200)], "doc_id int, page_no int, text string")
+    c = spark.createDataFrame(
+        [(1, 1, "Only page 70 holds the words number 70 of this document.", 1, 1, 1, 2**31 - 1), (1, 2, "Only page 3 holds the words number 3 of this", 9, 9, 2, 4), (2, 1, "a document without any page", 5, 6, 5, 6)],
+        "doc_id int, chunk_id int, text string, page_start int, page_end int, sec_start int, sec_end int",
+    )
+    g = G.ground_chunks(c, pages)
+    got = sorted(map(tuple, g.select("doc_id", "chunk_id", "page_start", "page_end").collect()))
+    assert got == [(1, 1, 70, 70), (1, 2, 3, 3), (2, 1, 5, 6)]
+    assert _exchanges(g) <= 12
