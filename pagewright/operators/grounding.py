@@ -42,26 +42,41 @@ def title_hits(sections: DataFrame, pages: DataFrame, key: str, ident: str) -> D
     return j.withColumn("offset", heading_offset(F.col("pk"), F.col("k"))).where("offset is not null").select(key, ident, "page_no", "offset")
 
 
+def _seen(sections: DataFrame, pages: DataFrame, key: str, ident: str) -> DataFrame:
+    """(key, page_no, hits, words) of the pages on which a title or a word of a title stands: hits are the titles with
+    their offsets, words those of the document's titles. Pages travel once, to the titles of their document."""
+    t = sections.select(key, ident, T.match_key(F.col("title")).alias("k"), F.array_distinct(T.words(F.col("title"), 3)).alias("w")).where(F.length("k") >= TITLE_MIN_KEY)
+    titles = F.collect_list(F.struct(F.col(ident).alias("ident"), "k")).alias("titles")
+    t = materialize(t.groupBy(key).agg(titles, F.array_distinct(F.flatten(F.collect_list("w"))).alias("wanted")), "titles")
+    j = pages.select(key, "page_no", "text").join(t, key)
+    j = j.select(key, "page_no", "titles", "wanted", T.match_key(F.col("text")).alias("pk"), F.array_distinct(T.words(F.col("text"), 3)).alias("w"))
+    hits = F.transform(F.filter("titles", lambda x: F.contains(F.col("pk"), x["k"])), lambda x: F.struct(x["ident"].alias("ident"), heading_offset(F.col("pk"), x["k"]).alias("offset")))
+    one = F.struct(F.filter(hits, lambda x: x["offset"].isNotNull()).alias("hits"), F.array_intersect("w", "wanted").alias("words"))
+    return j.select(key, "page_no", F.explode_outer(F.array(one)).alias("s")).select(key, "page_no", "s.hits", "s.words").where("size(hits) + size(words) > 0")
+
+
 def ground_sections(sections: DataFrame, pages: DataFrame, key: str = "doc_id", ident: str = "section_id", ord_col: str = "ord") -> DataFrame:
     """Section starts snapped to the one page that holds their heading, ends to the next heading.
 
     Pages with three or more headings are index pages and ground nothing. A title without a single
     page is looked for by its rare words. Output: `sections` with new ranges and `grounded`."""
-    hits = title_hits(sections, pages, key, ident)
-    index = hits.groupBy(key, "page_no").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= INDEX_HEADINGS).select(key, "page_no")
-    real = hits.join(index, [key, "page_no"], "left_anti")
+    seen = materialize(_seen(sections, pages, key, ident), "titles-seen")
+    plain = seen.where(F.size("hits") < INDEX_HEADINGS)
+    real = plain.select(key, "page_no", F.explode("hits").alias("h")).select(key, F.col("h.ident").alias(ident), "page_no", "h.offset")
     one = real.groupBy(key, ident).agg(F.count(F.lit(1)).alias("n"), F.min("page_no").alias("__p"), F.min("offset").alias("__off")).where("n = 1").drop("n")
+    one = materialize(one, "headings")
     # rare words of the titles that have no single heading
     rest = sections.join(one, [key, ident], "left_anti").where(F.length(T.match_key(F.col("title"))) >= TITLE_MIN_KEY)
-    want = rest.select(key, ident, F.explode(F.array_distinct(T.words(F.col("title"), 3))).alias("word"))
-    pw = page_words(pages, key, 3)
-    rare = pw.groupBy(key, "word").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") <= TITLE_RARE_PAGES).drop("df")
-    want = want.join(rare, [key, "word"])
-    total = want.groupBy(key, ident).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= TITLE_RARE_WORDS)
-    on = want.join(pw, [key, "word"]).groupBy(key, ident, "page_no").agg(F.count(F.lit(1)).alias("m"))
-    full = on.join(total, [key, ident]).where("m = __n").join(index, [key, "page_no"], "left_anti")
-    by_words = full.groupBy(key, ident).agg(F.count(F.lit(1)).alias("n"), F.min("page_no").alias("__p")).where("n = 1")
-    found = one.unionByName(by_words.select(key, ident, "__p", F.lit(0).alias("__off")))
+    want = rest.select(key, ident, F.explode_outer(F.array_distinct(T.words(F.col("title"), 3))).alias("word")).where("word is not null")
+    on = seen.select(key, F.struct("page_no", (F.size("hits") >= INDEX_HEADINGS).alias("index")).alias("on"), F.explode("words").alias("word"))
+    rare = on.groupBy(key, "word").agg(F.collect_list("on").alias("on")).where(F.size("on") <= TITLE_RARE_PAGES)
+    per = want.join(rare, [key, "word"]).select(key, ident, "on").groupBy(key, ident).agg(F.count(F.lit(1)).alias("n"), F.flatten(F.collect_list("on")).alias("on"))
+    per = per.where(F.col("n") >= TITLE_RARE_WORDS)
+    # the pages with all rare words, but for index pages
+    full = lambda x: ~x["index"] & (F.size(F.filter("on", lambda y: y["page_no"] == x["page_no"])) == F.col("n"))
+    per = per.select(key, ident, F.explode_outer(F.array(F.filter(F.array_distinct("on"), full))).alias("p")).where(F.size("p") == 1)
+    by_words = per.select(key, ident, F.get("p", F.lit(0))["page_no"].alias("__p"), F.lit(0).alias("__off"))
+    found = one.unionByName(by_words)
     d = sections.join(found, [key, ident], "left").withColumn("grounded", F.col("__p").isNotNull())
     d = d.withColumn("page_start", F.coalesce("__p", "page_start")).withColumn("page_end", F.greatest("page_start", "page_end"))
     w = Window.partitionBy(key).orderBy("page_start", "page_end", ord_col, ident)

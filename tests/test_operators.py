@@ -206,3 +206,15 @@ def test_chunk_grounding_has_a_small_plan(spark):
     got = sorted(map(tuple, g.select("doc_id", "chunk_id", "page_start", "page_end").collect()))
     assert got == [(1, 1, 70, 70), (1, 2, 3, 3), (2, 1, 5, 6)]
     assert _exchanges(g) <= 12
+
+
+def test_section_grounding_has_a_small_plan(spark):
+    """What the titles show on the pages is written once; before, every use of it was planned again."""
+    texts = ["Plan Claims Appeals Funding", "Claims", "Appeals start", "rules of the funding board", "zebra quagga", "quagga zebra okapi"]
+    pages = spark.createDataFrame([(1, i + 1, x) for i, x in enumerate(texts)], "doc_id int, page_no int, text string")
+    titles = ["Claims", "Appeals", "Funding", "Okapi: Quagga Zebra", "no such title"]
+    s = spark.createDataFrame([(1, i, i, x, 1, 6) for i, x in enumerate(titles)], "doc_id int, section_id int, ord int, title string, page_start int, page_end int")
+    g = G.ground_sections(s, pages)
+    got = {r.section_id: (r.page_start, r.grounded) for r in g.collect()}
+    assert got == {0: (2, True), 1: (3, True), 2: (4, True), 3: (6, True), 4: (1, False)}
+    assert _exchanges(g) <= 16
