@@ -1,12 +1,18 @@
 """Grounding sections and chunks in the text layer of their pages.
 
-Every search is an equi-join on (document, page) or (document, word): page windows are opened into
-their few pages, so neither a huge document's pages meet all of its chunks nor is text copied; only
-needles of at most 40 characters and word sets travel with the windows.
+Edges are searched by an equi-join on (document, page): page windows are opened into their few pages,
+so neither a huge document's pages meet all of its chunks nor is text copied; only needles of at most 40
+characters travel with the windows. The word sets of a document meet in one group, those of a large one
+in several, cut by word.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +25,8 @@ EDGE, EDGE_MIN_KEY, MARGIN = 40, 15, 3
 PAGE_BLOCK, FEW_BLOCKS = 16, 4
 #: Word fallback of chunks: most pages of a rare word, least rare words, least share, widest span, neighbour share.
 RARE_PAGES, RARE_WORDS, RARE_SHARE, MOST_SPAN, NEIGHBOUR = 3, 5, 0.5, 3, 0.25
+#: Characters of a document's pages and chunks whose words meet in one group, most groups of a document, bytes of words that are looked at at once.
+GROUP_CHARS, MOST_GROUPS, WORD_BYTES = 4_000_000, 512, 8_000_000
 #: Titles: least key length, headings of an index page, characters at the top of a page, rare words.
 TITLE_MIN_KEY, INDEX_HEADINGS, TOP_CHARS, TITLE_RARE_PAGES, TITLE_RARE_WORDS = 6, 3, 120, 4, 2
 
@@ -28,11 +36,6 @@ def heading_offset(page_key: Column, title_key: Column) -> Column:
     return F.nullif(F.regexp_instr(page_key, F.concat(F.lit("(?<!section)"), title_key)) - 1, F.lit(-1))
 
 
-def page_words(pages: DataFrame, key: str, least: int) -> DataFrame:
-    """(key, page_no, word): the word set of each page."""
-    return pages.select(key, "page_no", F.explode_outer(F.array_distinct(T.words(F.col("text"), least))).alias("word")).where("word is not null")
-
-
 def title_hits(sections: DataFrame, pages: DataFrame, key: str, ident: str) -> DataFrame:
     """(key, ident, page_no, offset) of every page on which a section's title stands. Titles of one
     document meet its pages; both sides are keys, not texts."""
@@ -104,13 +107,98 @@ def _block(page_no: Column) -> Column:
     return F.floor(page_no / F.lit(PAGE_BLOCK)).cast("bigint")
 
 
-def _rare_pages(pages: DataFrame, key: str) -> DataFrame:
-    """(key, word, on): the pages of each word that stands on at most RARE_PAGES = 3 of its document. Up to three
-    different numbers follow from their least, greatest and sum, so no list is gathered for the common words."""
-    p = F.col("page_no").cast("bigint")
-    g = page_words(pages, key, 4).groupBy(key, "word").agg(F.count(F.lit(1)).alias("df"), F.min(p).alias("lo"), F.max(p).alias("hi"), F.sum(p).alias("sum"))
-    on = F.when(F.col("df") < RARE_PAGES, F.array("lo", "hi")).otherwise(F.array("lo", F.col("sum") - F.col("lo") - F.col("hi"), "hi"))
-    return g.where(F.col("df") <= RARE_PAGES).select(key, "word", F.array_distinct(on).cast("array<int>").alias("on"))
+def _grouped_words(chunks: DataFrame, pages: DataFrame, key: str, ident: str) -> DataFrame:
+    """(key, part, page_no, ident, lo, hi, words): a row for each page (page_no) and chunk (ident, lo, hi) with its different
+    words in one string. Documents of more than GROUP_CHARS characters get several parts, each with the words of
+    its own hash, and a row for each part of their pages and chunks."""
+    lo, hi = F.greatest(F.col("sec_start").cast("bigint") - MARGIN, F.lit(1)), F.col("sec_end").cast("bigint") + MARGIN
+    none = lambda kind: F.lit(None).cast(kind)
+    texts = pages.select(key, F.length("text").alias("n")).unionByName(chunks.select(key, F.length("text").alias("n")))
+    large = texts.groupBy(key).agg(F.sum("n").alias("n")).where(F.col("n") > GROUP_CHARS)
+    large = large.select(key, F.least(F.ceil(F.col("n") / F.lit(GROUP_CHARS)), F.lit(MOST_GROUPS)).cast("int").alias("parts"))
+    w = F.array_distinct(T.words(F.col("text"), 4)).alias("w")
+    p = pages.select(key, F.col("page_no").cast("int").alias("page_no"), none(chunks.schema[ident].dataType).alias(ident), none("bigint").alias("lo"), none("bigint").alias("hi"), w)
+    c = chunks.select(key, none("int").alias("page_no"), ident, lo.alias("lo"), hi.alias("hi"), w)
+    d = p.unionByName(c).join(F.broadcast(large), key, "left")
+    own = lambda b: F.struct(b.alias("part"), F.array_join(F.filter("w", lambda x: F.pmod(F.xxhash64(x), F.col("parts")) == b), " ").alias("words"))
+    parts = F.when(F.col("parts").isNull(), F.array(F.struct(F.lit(0).alias("part"), F.array_join("w", " ").alias("words")))).otherwise(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), own))
+    # chunks of too few words ask for nothing
+    parts = F.when(F.col("page_no").isNotNull() | (F.size("w") >= RARE_WORDS), parts)
+    d = d.select(key, "page_no", ident, "lo", "hi", F.explode_outer(parts).alias("g")).select(key, "g.part", "page_no", ident, "lo", "hi", "g.words")
+    return d.where(F.col(key).isNotNull() & (F.col("words") != "")).repartition(key, "part").sortWithinPartitions(key, "part", "page_no")
+
+
+def _rare_sets(key: str, ident: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From the rows of `_grouped_words` to (key, ident, sets): for each chunk the pages that hold its rare words, those
+    in its window only, with the number of words that stand on just these (`on`, `n`)."""
+
+    def of(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        col = {c: t[c].combine_chunks() for c in t.column_names}
+        lists = pc.split_pattern(col["words"], " ")
+        sizes = pc.list_value_length(lists).to_numpy()
+        words = lists.flatten().dictionary_encode()
+        part = col["part"].to_numpy().astype(np.int64)
+        group = col[key].dictionary_encode().indices.to_numpy().astype(np.int64) * (part.max() + 1) + part
+        code = np.repeat(group, sizes) * len(words.dictionary) + words.indices.to_numpy()
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        is_page = col["page_no"].is_valid().to_numpy(zero_copy_only=False)
+        numbers, rank = np.unique(col["page_no"].fill_null(0).to_numpy(), return_inverse=True)
+        # the pages of each word, least first; a page delivered twice counts once
+        there = is_page[row]
+        held, at = code[there], rank[row[there]]
+        order = np.lexsort((at, held))
+        held, at = held[order], at[order]
+        new = np.ones(len(held), bool)
+        new[1:] = (held[1:] != held[:-1]) | (at[1:] != at[:-1])
+        held, at = held[new], at[new]
+        first = np.flatnonzero(np.r_[held[:1] >= 0, held[1:] != held[:-1]])
+        df = np.diff(np.r_[first, len(held)])
+        first, df = first[df <= RARE_PAGES], df[df <= RARE_PAGES]
+        if not len(first):
+            return
+        # equal sets of pages get one number
+        cols = [np.where(df > i, at[np.minimum(first + i, len(at) - 1)] + 1, 0) for i in range(RARE_PAGES)]
+        number = cols[0]
+        for c in cols[1:]:
+            _, some, number = np.unique(number * (len(numbers) + 1) + c, return_index=True, return_inverse=True)
+        sets = np.stack([c[some] for c in cols], 1)
+        rare, asked, asks = held[first], code[~there], row[~there]
+        place = np.minimum(np.searchsorted(rare, asked), len(rare) - 1)
+        hit = rare[place] == asked
+        pair, n = np.unique(asks[hit] * len(sets) + number[place[hit]], return_counts=True)
+        chunk, which = pair // len(sets), sets[pair % len(sets)]
+        pages = numbers[np.maximum(which - 1, 0)]
+        lo, hi = (col[c].fill_null(v).to_numpy()[chunk][:, None] for c, v in (("lo", 1), ("hi", 2**62)))
+        near = (which > 0) & (pages >= lo) & (pages <= hi)
+        on = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(near.sum(1))], pa.int32()), pa.array(pages[near], pa.int32()))
+        each = pa.StructArray.from_arrays([on, pa.array(n, pa.int32())], names=["on", "n"])
+        chunk, start = np.unique(chunk, return_index=True)
+        out = pa.ListArray.from_arrays(pa.array(np.r_[start, len(pair)], pa.int32()), each)
+        yield pa.RecordBatch.from_arrays([col[key].take(pa.array(chunk)), col[ident].take(pa.array(chunk)), out], names=[key, ident, "sets"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready: list[pa.RecordBatch] = []  # whole groups
+        last: list[pa.RecordBatch] = []  # the group that may go on
+        name = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            ends = b[key][-1], b["part"][-1]
+            if last and (b[key][0], b["part"][0]) != name:
+                ready, last = ready + last, []
+            same = pc.and_(pc.equal(b[key], ends[0]), pc.equal(b["part"], ends[1]))
+            cut = pc.index(same, True).as_py()
+            if cut:
+                ready, last = [*ready, *last, b.slice(0, cut)], []
+            last.append(b.slice(cut))
+            name = ends
+            if sum(x["words"].nbytes for x in ready) >= WORD_BYTES:
+                yield from of(pa.Table.from_batches(ready))
+                ready = []
+        if ready or last:
+            yield from of(pa.Table.from_batches(ready + last))
+
+    return run
 
 
 def _let(value: Column, use) -> Column:
@@ -143,14 +231,13 @@ def locate_by_words(chunks: DataFrame, pages: DataFrame, key: str = "doc_id", id
     """(key, ident, span_start, span_end) of the chunks whose rare words point to a run of at most three
     pages. `chunks` has text, sec_start and sec_end; chunks without a clear run give no row.
 
-    The words of chunks and pages meet once; what follows is one group per chunk, of at most three pages for
-    each of its words."""
-    lo, hi = F.greatest(F.col("sec_start").cast("bigint") - MARGIN, F.lit(1)), F.col("sec_end").cast("bigint") + MARGIN
-    words = chunks.select(key, ident, lo.alias("lo"), hi.alias("hi"), F.array_distinct(T.words(F.col("text"), 4)).alias("w"))
-    words = words.select(key, ident, "lo", "hi", F.explode_outer(F.when(F.size("w") >= RARE_WORDS, F.col("w"))).alias("word")).where("word is not null")
-    words = words.join(_rare_pages(pages, key), [key, "word"])
-    near = F.filter("on", lambda x: (x >= F.col("lo")) & F.coalesce(x <= F.col("hi"), F.lit(True)))
-    per = words.select(key, ident, near.alias("on")).repartition(key, ident).groupBy(key, ident).agg(F.collect_list("on").alias("on")).where(F.size("on") >= RARE_WORDS)
+    Words travel once, in one row per page and chunk, to the group of their document; what follows is one group
+    per chunk, of the different sets of at most three pages on which its words stand."""
+    words = _grouped_words(chunks, pages, key, ident)
+    schema = ", ".join(f"`{c}` {words.schema[c].dataType.simpleString()}" for c in (key, ident)) + ", sets array<struct<on: array<int>, n: int>>"
+    sets = words.mapInArrow(_rare_sets(key, ident), schema).groupBy(key, ident).agg(F.flatten(F.collect_list("sets")).alias("sets"))
+    sets = sets.where(F.aggregate("sets", F.lit(0), lambda a, x: a + x["n"]) >= RARE_WORDS)
+    per = sets.select(key, ident, F.flatten(F.transform("sets", lambda x: F.array_repeat(x["on"], x["n"]))).alias("on"))
     # one outer generator: neither a filter nor a projection on it evaluates the run again
     return per.select(key, ident, F.explode_outer(_run("on")).alias("r")).where("r is not null").select(key, ident, "r.span_start", "r.span_end")
 

@@ -218,3 +218,21 @@ def test_section_grounding_has_a_small_plan(spark):
     got = {r.section_id: (r.page_start, r.grounded) for r in g.collect()}
     assert got == {0: (2, True), 1: (3, True), 2: (4, True), 3: (6, True), 4: (1, False)}
     assert _exchanges(g) <= 16
+
+
+def test_words_of_large_documents_meet_in_several_groups(spark, monkeypatch):
+    """Words travel once in rows of pages and chunks, never alone; before, a row for each word of both was shuffled, and a
+    page delivered twice counted twice."""
+    lines = [" ".join(f"w{n}a{k:02d}x common" for k in range(12)) for n in range(1, 9)]
+    rows = [(d, n, x) for d in ("a", "b") for n, x in enumerate(lines, 1) for _ in range(4 if n == 3 else 1)]
+    pages = spark.createDataFrame(rows, "doc_id string, page_no int, text string")
+    c = [(d, (1, n), x + " unseen", n, None if n % 2 else n) for d in ("a", "b") for n, x in enumerate(lines, 1)]
+    c += [("a", (2, 1), lines[0], 7, 8), ("a", (2, 2), "common", 1, 8), ("c", (1, 1), lines[0], 1, 1), (None, (1, 1), lines[0], 1, 1), ("b", (2, 3), None, 1, 8)]
+    c = spark.createDataFrame(c, "doc_id string, chunk_id struct<sec:int,ord:int>, text string, sec_start int, sec_end int")
+    want = sorted((d, (1, n), n, n) for d in ("a", "b") for n in range(1, 9))
+    for most in (G.GROUP_CHARS, 300, 40):
+        monkeypatch.setattr(G, "GROUP_CHARS", most)
+        monkeypatch.setattr(G, "WORD_BYTES", 8_000_000 if most > 300 else 1)
+        d = G.locate_by_words(c, pages)
+        assert sorted((r.doc_id, tuple(r.chunk_id), r.span_start, r.span_end) for r in d.collect()) == want
+        assert "word#" not in d._jdf.queryExecution().executedPlan().toString()
