@@ -130,11 +130,13 @@ def pack_groups(df: DataFrame, keys: list[str], ord_col: str, target: int, text:
     return s.select(*keys, "grp", F.explode(F.slice("a", b + 1, e - b)).alias("x")).select(*keys, F.col("x.o").alias(ord_col), "grp")
 
 
-def pack_chunks(df: DataFrame, keys: list[str], ord_col: str, target: int, groups: DataFrame | None = None) -> DataFrame:
+def pack_chunks(df: DataFrame, keys: list[str], ord_col: str, target: int, groups: DataFrame | None = None, about: list[str] | None = None) -> DataFrame:
     """Merge consecutive pieces of a section up to `target`: texts joined by a blank line, keywords and
-    references united in order, page range widest (page 0 and null are missing). `groups` as of `pack_groups`."""
+    references united in order, page range widest (page 0 and null are missing). `groups` as of `pack_groups`; its
+    columns `about`, equal in a section, come with the packed chunks."""
     d = df.join(pack_groups(df, keys, ord_col, target) if groups is None else groups, [*keys, ord_col])
-    packed = d.groupBy(*keys, "grp").agg(
+    about = about or []
+    packed = d.groupBy(*keys, *about, "grp").agg(
         F.array_sort(
             F.collect_list(
                 F.struct(
@@ -152,6 +154,7 @@ def pack_chunks(df: DataFrame, keys: list[str], ord_col: str, target: int, group
     field = lambda f: F.transform("a", lambda x: x[f])
     return packed.select(
         *keys,
+        *about,
         "grp",
         F.array_join(field("text"), "\n\n").alias("text"),
         F.array_distinct(F.flatten(field("keywords"))).alias("keywords"),
@@ -174,12 +177,12 @@ def normalize_chunk_pages(df: DataFrame, offset: str, sec_start: str, sec_end: s
 
 
 def assemble_chunks(
-    df: DataFrame, doc: str, sec: str, ord_col: str, limit: int = 1024, target: int = 512, start_index: int | str = 0, sec_page: str | None = None, counter: Counter = Counter()
+    df: DataFrame, doc: str, sec: str, ord_col: str, limit: int = 1024, target: int = 512, start_index: int | str = 0, sec_page: str | None = None, counter: Counter = Counter(), about: DataFrame | None = None
 ) -> DataFrame:
     """Guard, pack, number and count: the chunks of every document in reading order. Pieces inherit
     keywords, references and pages of the chunk they come from; `sec` orders the sections. `start_index` is the
     number of the first chunk, or the column that holds it. An exact `counter` packs and counts; the guard in front
-    of it cuts by the estimate."""
+    of it cuts by the estimate. `about` has one row (doc, sec, columns) of each section, whose columns come with its chunks."""
     # outer explodes throughout: an inner one adds a filter that evaluates the whole fold once more
     d = enforce_token_limit(df, limit).select(*[c for c in df.columns if c != "text"], F.posexplode_outer("pieces").alias("__p", "text"))
     d = d.withColumn("o", F.struct(F.col(ord_col).alias("a"), F.col("__p").alias("b"))).drop(ord_col)
@@ -192,13 +195,15 @@ def assemble_chunks(
     else:
         groups = pack_groups(d, keys, "o", min(target, limit), units="__u")
     groups = materialize(groups, "groups")
-    packed = pack_chunks(d.drop("__u", "__p"), keys, "o", min(target, limit), groups)
-    if sec_page:
-        packed = packed.withColumn("page_start", F.coalesce("page_start", sec_page)).withColumn("page_end", F.coalesce("page_end", sec_page))
     # numbers from counts per section: no text passes the window
     w = Window.partitionBy(doc).orderBy(*keys[1:])
     start_index = F.col(start_index) if isinstance(start_index, str) else F.lit(start_index)
     n = groups.groupBy(*keys).agg((F.max("grp") + 1).alias("n"))
     first = n.select(*keys, (F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n") + start_index).alias("__first"))
-    packed = packed.join(first, keys).withColumn("chunk_index", (F.col("__first") + F.col("grp")).cast("int")).drop("__first")
+    # what is said of a section joins its groups, which hold no text
+    first = first if about is None else first.join(about, [doc, sec])
+    packed = pack_chunks(d.drop("__u", "__p"), keys, "o", min(target, limit), groups.join(first, keys), [c for c in first.columns if c not in keys])
+    if sec_page:
+        packed = packed.withColumn("page_start", F.coalesce("page_start", sec_page)).withColumn("page_end", F.coalesce("page_end", sec_page))
+    packed = packed.withColumn("chunk_index", (F.col("__first") + F.col("grp")).cast("int")).drop("__first")
     return packed.withColumn("token_count", counter.count(F.col("text")))

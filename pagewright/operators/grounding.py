@@ -272,7 +272,7 @@ def ground_chunks(chunks: DataFrame, pages: DataFrame, key: str = "doc_id", iden
         lost = materialize(e.where("ps is null and pe is null").select(key, ident), "lost-chunks")
         texts = chunks.select(key, ident, "text", "sec_start", "sec_end").join(lost, [key, ident], "left_semi")
         spans = locate_by_words(texts, pages.join(lost.select(key).distinct(), key, "left_semi"), key, ident)
-        found = found.unionByName(spans.select(key, ident, F.col("span_start").alias("ps"), F.col("span_end").alias("pe")))
+        found = materialize(found.unionByName(spans.select(key, ident, F.col("span_start").alias("ps"), F.col("span_end").alias("pe"))), "found")
     d = chunks.join(found, [key, ident], "left")
     against = F.coalesce(F.col("ps") > F.col("pe"), F.lit(False))
     d = d.withColumn("__s", F.when(against, F.col("page_start")).otherwise(F.coalesce("ps", "page_start")))

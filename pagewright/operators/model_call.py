@@ -154,6 +154,8 @@ def _used(answers: list[Answer]) -> list[int | None]:
     return [sum(v) if (v := [a.usage[c] for a in answers if a.usage.get(c) is not None]) else None for c in COUNTERS]
 
 
+#: Answers and characters of answers that leave a task at once.
+ANSWERS, ANSWER_CHARS = 1000, 4_000_000
 SECTION_CALL = "sec_no int, first int, last int, context string"
 
 
@@ -167,11 +169,15 @@ def call_sections(documents: DataFrame, client: Callable[[], Proposer], required
     schema = f"`{key}` {src.schema[key].dataType.simpleString()}, sec_no int, off int, body string, error string, model string, " + ", ".join(f"{c} bigint" for c in COUNTERS)
     columns = [key, "sec_no", "off", "body", "error", "model", *COUNTERS]
 
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=columns).astype({c: "Int64" for c in COUNTERS})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = client()
+        rows, chars = [], 0
         for b in batches:
             for name, pages, sections in zip(b[key], b["pages"], b["__s"], strict=True):
-                rows, full, pages = [], True, list(pages)
+                full, pages = True, list(pages)
                 for s in json.loads(sections):
                     body, error, answers = None, None, []
                     while True:
@@ -189,7 +195,12 @@ def call_sections(documents: DataFrame, client: Callable[[], Proposer], required
                             error = f"{type(e).__name__}: {e}"
                         break
                     rows.append((name, s["sec_no"], 0 if full else s["first"] - 1, body, error, answers[-1].model if answers else None, *_used(answers)))
-                yield pd.DataFrame(rows, columns=columns).astype({c: "Int64" for c in COUNTERS})
+                    chars += len(body or "")
+                    if len(rows) >= ANSWERS or chars >= ANSWER_CHARS:
+                        yield frame(rows)
+                        rows, chars = [], 0
+        if rows:
+            yield frame(rows)
 
     return src.mapInPandas(run, schema)
 

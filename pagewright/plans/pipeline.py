@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,23 +20,40 @@ from pagewright.operators import pages as P
 from pagewright.operators.curate import completed_prefix, resume_plan
 from pagewright.operators.model_call import COUNTERS, Proposer, RuleProposer, call_rows, call_sections, mode
 from pagewright.schemas import OUTLINE, RAW_CHUNK
-from pagewright.session import materialize
+from pagewright.session import forget, materialize, settle
 
 
 @dataclass
 class RunResult:
     """The tables of a run. `fidelity` scores documents, `section_scores` sections, `flags` are the chunks with text that
-    isn't on their pages, `hints` where their lines stand; without scoring these are None. `profiles` holds the
-    sections, terms, references and dates of each document."""
+    isn't on their pages, `hints` where their lines stand; all are worked out when the first of them is asked for, and
+    None without scoring. `profiles` holds the sections, terms, references and dates of each document."""
 
     profiles: DataFrame
     sections: DataFrame
     chunks: DataFrame
     usage: DataFrame
-    fidelity: DataFrame | None = None
-    section_scores: DataFrame | None = None
-    flags: DataFrame | None = None
-    hints: DataFrame | None = None
+    scorer: Callable[[], tuple[DataFrame, DataFrame, DataFrame, DataFrame]] | None = None
+
+    @cached_property
+    def _scores(self) -> tuple[DataFrame | None, ...]:
+        return self.scorer() if self.scorer else (None,) * 4
+
+    @property
+    def fidelity(self) -> DataFrame | None:
+        return self._scores[0]
+
+    @property
+    def section_scores(self) -> DataFrame | None:
+        return self._scores[1]
+
+    @property
+    def flags(self) -> DataFrame | None:
+        return self._scores[2]
+
+    @property
+    def hints(self) -> DataFrame | None:
+        return self._scores[3]
 
 
 def _limited(requests: DataFrame, most: int | None) -> DataFrame:
@@ -72,26 +90,28 @@ def _lists(parts: DataFrame) -> dict[str, DataFrame]:
 
 def analyze(pages: DataFrame, config: EngineConfig = EngineConfig(), client: Callable[[], Proposer] = RuleProposer) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(profiles, sections, usage) of the documents in `pages` (doc_id, page_no, text)."""
-    docs = pages.groupBy("doc_id").agg(F.max("page_no").alias("page_count"))
+    # what has several consumers is written, so that no plan holds the steps before it more than once
+    docs = materialize(pages.groupBy("doc_id").agg(F.max("page_no").alias("page_count")), "page-counts")
     batches = P.iter_batches(pages, docs, config.max_request_bytes, config.max_pages_per_batch, config.batch_overlap_pages)
     batches = batches.select("doc_id", "slice_start", (F.col("batch_no") * 1000 + F.col("slice_no")).alias("batch"), F.col("slice_start").alias("page_start"), F.col("slice_end").alias("page_end"))
     req = _limited(_request(pages, batches, "outline", ["doc_id", "batch", "slice_start"], [], config), config.outline_concurrency)
-    called = materialize(call_rows(req, client, ("sections",), ["doc_id", "batch", "slice_start"], retries=config.max_transient_retries, repairs=config.max_repair_attempts), "outline")
-    parts = called.withColumn("o", F.from_json("body", OUTLINE))
+    called = call_rows(req, client, ("sections",), ["doc_id", "batch", "slice_start"], retries=config.max_transient_retries, repairs=config.max_repair_attempts)
+    parts = materialize(called.withColumn("o", F.from_json("body", OUTLINE)).drop("body"), "outline")
     s = parts.select("doc_id", "batch", (F.col("slice_start") - 1).alias("off"), F.posexplode("o.sections").alias("pos", "s"))
     s = P.rebase(s.select("doc_id", F.struct("batch", "pos").alias("ord"), "off", "s.*"), "off").drop("off")
     from pyspark.sql import Window
 
     s = s.withColumn("ord", F.row_number().over(Window.partitionBy("doc_id").orderBy("ord")))
-    merged = O.merge_sections(O.repair_ranges(s)).withColumn("section_id", F.col("ord"))
-    grounded = G.ground_sections(merged, pages).drop("grounded", "section_id")
+    merged = materialize(O.merge_sections(O.repair_ranges(s)).withColumn("section_id", F.col("ord")), "merged")
+    settle(pages.sparkSession)
+    grounded = materialize(G.ground_sections(merged, pages).drop("grounded", "section_id"), "grounded")
     sections = O.number_sections(O.fill_gaps(grounded, docs))
     meta = parts.select("doc_id", "batch", *[F.col(f"o.{c}").alias(c) for c in ("doc_type", "title", "plan_name", "sponsor", "notes")])
     first = O.first_nonempty(meta, "doc_id", "batch", ["doc_type", "title", "plan_name", "sponsor", "notes"], {"doc_type": "unknown"})
     lists = _lists(parts)
     for c in LISTS:
         first = first.join(lists[c], "doc_id", "left").withColumn(c, F.coalesce(c, F.array().cast(OUTLINE[c].dataType)))
-    return docs.join(first, "doc_id", "left"), materialize(sections, "sections"), called.select("model", *COUNTERS)
+    return docs.join(first, "doc_id", "left"), materialize(sections, "sections"), parts.select("model", *COUNTERS)
 
 
 def _section_calls(pages: DataFrame, sections: DataFrame, profiles: DataFrame | None, config: EngineConfig, client: Callable[[], Proposer]) -> DataFrame:
@@ -109,6 +129,7 @@ def _section_calls(pages: DataFrame, sections: DataFrame, profiles: DataFrame |
     size = pages.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum(T.encoded_size(F.octet_length("text"))).alias("b"))
     modes = size.select("doc_id", mode(F.col("n"), F.coalesce("b", F.lit(0)), config.max_request_bytes, config.full_document_pages).alias("mode"))
     s = materialize(s.withColumn("context", context).join(modes, "doc_id"), "section-calls")
+    settle(pages.sparkSession)
     tries = {"retries": config.max_transient_retries, "repairs": config.max_repair_attempts}
     whole = s.where("mode = 'full'")
     lists = whole.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("sec_no", F.col("page_start").alias("first"), F.col("page_end").alias("last"), "context"))).alias("sections"))
@@ -117,7 +138,10 @@ def _section_calls(pages: DataFrame, sections: DataFrame, profiles: DataFrame |
     cut = s.where("mode = 'sliced'")
     req = _limited(_request(pages, cut, "chunks", ["doc_id", "sec_no"], ["context"], config), config.chunk_concurrency)
     sliced = call_rows(req, client, ("chunks",), ["doc_id", "sec_no"], **tries).join(cut.select("doc_id", "sec_no", (F.col("page_start") - 1).alias("off")), ["doc_id", "sec_no"])
-    return materialize(full.unionByName(sliced), "chunks")
+    answers = full.unionByName(sliced)
+    called = materialize(answers, "chunks")
+    forget(answers, pages, sections)
+    return called
 
 
 def chunk(
@@ -138,25 +162,30 @@ def chunk(
         kept = materialize(resume_plan(named, done, "doc_id"), "kept")
         todo = sections.join(prefix, "doc_id").where("sec_no >= done").drop("done")
     called = _section_calls(pages, todo, profiles, config, client)
+    used = materialize(called.select("model", *COUNTERS), "usage")
     raw = called.withColumn("c", F.from_json("body", "chunks array<" + RAW_CHUNK.simpleString() + ">"))
     raw = raw.select("doc_id", "sec_no", "off", F.posexplode("c.chunks").alias("ord", "c")).select("doc_id", "sec_no", "off", "ord", "c.*").where("text is not null")
     sec = sections.select("doc_id", "sec_no", "section_type", F.col("page_start").alias("sec_start"), F.col("page_end").alias("sec_end"))
     raw = raw.join(sec, ["doc_id", "sec_no"])
     raw = C.normalize_chunk_pages(raw, "off", "sec_start", "sec_end")
-    raw = C.dedupe_raw_chunks(C.clean_raw_chunks(raw), ["doc_id", "sec_no"])
-    raw = raw.withColumn("chunk_id", F.struct("sec_no", "ord"))
-    raw = G.ground_chunks(raw, pages).drop("chunk_id")
+    unlike = C.dedupe_raw_chunks(C.clean_raw_chunks(raw), ["doc_id", "sec_no"])
+    forget(called, unlike)
+    deduped = materialize(unlike.withColumn("chunk_id", F.struct("sec_no", "ord")), "deduped")
+    forget(unlike)
+    raw = G.ground_chunks(deduped, pages).drop("chunk_id")
+    settle(pages.sparkSession)
     start: int | str = 0
     if kept is not None:
         n = kept.groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("start_index"))
         raw, start = raw.join(n, "doc_id", "left").na.fill(0, ["start_index"]), "start_index"
-    out = C.assemble_chunks(raw, "doc_id", "sec_no", "ord", config.max_tokens, config.target_tokens, start, counter=choose_counter(config.tokenizer_path))
     titles = sections.select("doc_id", "sec_no", F.col("title").alias("section_title"), "section_type", F.col("summary").alias("section_summary"))
-    out = out.join(titles, ["doc_id", "sec_no"]).drop("start_index")
+    out = C.assemble_chunks(raw.drop("section_type"), "doc_id", "sec_no", "ord", config.max_tokens, config.target_tokens, start, counter=choose_counter(config.tokenizer_path), about=titles)
+    forget(deduped, out, sections)
+    out = out.drop("start_index")
     if kept is not None:
         have = titles.groupBy("doc_id", "section_title").agg(F.min("sec_no").alias("sec_no"))
         out = out.unionByName(kept.drop("sec_no").join(have, ["doc_id", "section_title"], "left"), allowMissingColumns=True)
-    return out, called.select("model", *COUNTERS)
+    return out, used
 
 
 def scores(pages: DataFrame, profiles: DataFrame, sections: DataFrame, chunks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -186,6 +215,7 @@ def run(
     interrupted run: its maps are used again and its finished sections aren't called for."""
     if resume is None:
         profiles, sections, used = analyze(pages, config, client)
+        profiles = materialize(profiles, "profiles")
         chunks, more = chunk(pages, sections, config, client, profiles)
         used = used.unionByName(more)
     else:
@@ -195,7 +225,7 @@ def run(
     maps = profiles.drop("sections").join(section_lists(sections), "doc_id", "left")
     if not fidelity:
         return RunResult(maps, sections, chunks, used)
-    return RunResult(maps, sections, chunks, used, *scores(pages, profiles, sections, chunks))
+    return RunResult(maps, sections, chunks, used, lambda: scores(pages, profiles, sections, chunks))
 
 
 def section_lists(sections: DataFrame) -> DataFrame:

@@ -67,12 +67,31 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the scratch tables this process wrote; results read from them end with that."""
+def settle(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished plans: it does so once the driver has collected their
+    garbage, which in a run of many plans may come after the disk is full."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def forget(done: DataFrame, *but: DataFrame) -> int:
+    """Delete the scratch tables that `done` reads and none of `but` does, in the middle of a long run."""
+    read = lambda df: {p for p in _SCRATCH for f in df.inputFiles() if f"/{os.path.basename(p)}/" in f}
+    gone = read(done).difference(*map(read, but))
+    n = _delete(done.sparkSession, gone)
+    settle(done.sparkSession)
+    return n
+
+
+def _delete(spark: SparkSession, paths: set[str]) -> int:
     n = 0
-    jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _SCRATCH:
-        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+    for path in paths:
+        _SCRATCH.remove(path)
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         n += bool(p.getFileSystem(conf).delete(p, True))
     return n
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the scratch tables this process wrote; results read from them end with that."""
+    return _delete(spark, set(_SCRATCH))

@@ -164,3 +164,39 @@ def test_command_line(spark, tmp_path):
     assert main(["export", "--profiles", str(tmp_path / "p/profiles"), "--chunks", str(tmp_path / "o/chunks"), "--out", str(tmp_path / "x")]) == 0
     assert spark.read.parquet(str(tmp_path / "x/chunks")).count() == len(before)
     assert spark.read.parquet(str(tmp_path / "x/documents")).count() == 2
+
+
+def test_run_has_small_plans_and_few_tables(spark, monkeypatch):
+    """The driver's memory follows the plans; before, one held 28 exchanges and the scores were prepared unasked. Tables that
+    were read to their end are deleted, not kept to the end of the run."""
+    import os
+
+    from pagewright import session
+    from pagewright.operators import chunks, fidelity, grounding, intervals
+
+    plans, write = {}, session.materialize
+
+    def seen(df, label="stage"):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+        return write(df, label)
+
+    for m in (pipeline, chunks, fidelity, grounding, intervals):
+        monkeypatch.setattr(m, "materialize", seen)
+    had = set(session._SCRATCH)
+    pages = spark.createDataFrame([(d, n, f"SECTION {n} RULES\nMembers of group {n} of {d} may join the plan.") for d in (1, 2) for n in range(1, 5)], "doc_id int, page_no int, text string")
+    r = pipeline.run(pages)
+    assert max(plans.values()) <= 18, plans
+    assert "chunk-words" not in plans and "gate" not in plans
+    kept = {os.path.basename(p).rpartition("-")[0] for p in set(session._SCRATCH) - had}
+    assert not kept & {"section-calls", "chunks", "raw-chunks", "deduped"}
+    assert r.flags.count() == 0 and "chunk-words" in plans and {x.status for x in r.fidelity.collect()} <= {"ok", "skipped"}
+    assert r.usage.count() == 8 + 2 and r.chunks.count() == 8
+
+
+def test_answers_of_many_documents_leave_together(spark, monkeypatch):
+    monkeypatch.setattr(M, "ANSWERS", 7)
+    rows = [(i, [f"page {i}", "x"], [(0, 1, 1, None), (1, 2, 2, None)] if i % 3 else [(0, 1, 2, None)]) for i in range(40)]
+    d = spark.createDataFrame(rows, f"doc_id int, pages array<string>, sections array<struct<{M.SECTION_CALL.replace(' int', ':int').replace(' string', ':string')}>>").coalesce(1)
+    got = M.call_sections(d, M.RuleProposer, ("chunks",)).collect()
+    assert sorted((r.doc_id, r.sec_no) for r in got) == sorted((i, s[0]) for i, _, ss in rows for s in ss)
+    assert all(json.loads(r.body)["chunks"][0]["text"] == (f"page {r.doc_id}" if r.sec_no == 0 else "x") for r in got)
